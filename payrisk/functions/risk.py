@@ -59,12 +59,6 @@ def add_amount_bucket(df: DataFrame) -> DataFrame:
     return df.withColumn("amount_bucket", amount_bucket(F.col("amount")))
 
 
-def position_in(value: Column, labels: tuple[str, ...]) -> Column:
-    """Rank of an ordered label, for sorting output by band and not by alphabet."""
-    order = F.create_map(*[F.lit(x) for i, label in enumerate(labels) for x in (label, i)])
-    return order[value]
-
-
 def rule_points() -> Column:
     """Integer points of the transparent rules, capped. A NULL condition scores nothing."""
     far_off = F.lit(float(BALANCE_ERROR_LIMIT))

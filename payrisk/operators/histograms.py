@@ -48,37 +48,49 @@ def _edge(position: Column, span: Column, count: Column) -> Column:
     return F.when(position == count, span["high"]).otherwise(inner)
 
 
-def _bin_of(value: Column, span: Column, bins: int) -> Column:
-    """Bin whose edges enclose the value. The quotient may be one off beside an edge."""
-    count = F.lit(bins)
-    quotient = (value - span["low"]) / (span["high"] - span["low"]) * F.lit(float(bins))
-    guess = F.least(F.greatest(F.floor(quotient), F.lit(0)), count - 1).cast("int")
-    too_high = (value < _edge(guess, span, count)) & (guess > 0)
-    too_low = (value >= _edge(guess + 1, span, count)) & (guess < count - 1)
-    placed = F.when(too_high, guess - 1).when(too_low, guess + 1).otherwise(guess)
-    return F.when(value.isNotNull(), placed)
+def _assign_bins(values: DataFrame, ranges: Column, counts: dict[str, int]) -> DataFrame:
+    """Replace each value column by its bin; NULL stays NULL.
+
+    One projection per step: what a step computes is then evaluated once, not once per use.
+    The quotient may be one off beside an edge, so the edges decide.
+    """
+    names = list(counts)
+    spans = values.select(*names, ranges.alias("__ranges"))
+    for n in names:
+        low, high = F.col("__ranges")[n]["low"], F.col("__ranges")[n]["high"]
+        quotient = (F.col(n) - low) / (high - low) * float(counts[n])
+        spans = spans.withColumns(
+            {
+                f"{n}__low": low,
+                f"{n}__step": (high - low) / float(counts[n]),
+                f"{n}__guess": F.least(F.floor(quotient), F.lit(counts[n] - 1)).cast("int"),
+            }
+        )
+
+    def placed(n: str) -> Column:
+        value, guess = F.col(n), F.col(f"{n}__guess")
+        low, step = F.col(f"{n}__low"), F.col(f"{n}__step")
+        below = value < guess * step + low
+        above = (guess < counts[n] - 1) & (value >= (guess + 1) * step + low)
+        return guess - below.cast("int") + above.cast("int")
+
+    return spans.select(*[placed(n).alias(n) for n in names])
 
 
 def histograms(df: DataFrame, specs: dict[str, Bins]) -> DataFrame:
     """Columns ``histogram, bin, lower, upper, count``: every bin of every histogram."""
     names = list(specs)
-    value_of = {name: f"__value_of_{name}" for name in names}
-    values = df.withColumns(
-        {value_of[n]: F.when(is_number(specs[n].value), specs[n].value) for n in names}
-    )
-    # One column holds the ranges, so the subquery stands in each plan only once.
-    ranges = values.agg(
-        F.struct(*[_range_of(F.col(value_of[n]), specs[n]).alias(n) for n in names])
+    raw = df.withColumns({f"__value_{i}": specs[n].value for i, n in enumerate(names)})
+    value_of = {n: F.col(f"__value_{i}") for i, n in enumerate(names)}
+    finite = {n: F.when(is_number(value_of[n]), value_of[n]) for n in names}
+    ranges = raw.agg(
+        F.struct(*[_range_of(finite[n], specs[n]).alias(n) for n in names])
     ).scalar()
-    ranged = values.select(*value_of.values(), ranges.alias("__ranges"))
-    cell = [
-        F.struct(
-            F.lit(n).alias("histogram"),
-            _bin_of(F.col(value_of[n]), F.col("__ranges")[n], specs[n].count).alias("bin"),
-        )
-        for n in names
-    ]
-    cells = ranged.select(F.inline(F.array(*cell)))
+    values = raw.select(*[finite[n].alias(n) for n in names])
+    bins = _assign_bins(values, ranges, {n: specs[n].count for n in names})
+    # Bins are columns by now: a generator would evaluate shared expressions every time.
+    cell = [F.struct(F.lit(n).alias("histogram"), F.col(n).alias("bin")) for n in names]
+    cells = bins.select(F.inline(F.array(*cell)))
     counted = (
         cells.filter(F.col("bin").isNotNull())
         .groupBy("histogram", "bin")
@@ -114,7 +126,7 @@ def _centred(df: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Columns ``bin, center, count`` for one numeric column."""
-    return _centred(histograms(df, {column: Bins(F.col(column), bins)}))
+    return _centred(histograms(df, {"value": Bins(F.col(column), bins)}))
 
 
 def probability_histogram(df: DataFrame, bins: int = PROBABILITY_BINS) -> DataFrame:
@@ -141,8 +153,9 @@ def _log_amount_bins(prediction: int, bins: int) -> Bins:
     """Bins over log10(amount) from 0 (amounts below 1 count as 1) to the largest amount."""
     amount = F.when(is_number(F.col("amount")), F.col("amount"))
     top = F.greatest(F.coalesce(F.max(amount), F.lit(10.0)), F.lit(10.0))
+    counted = (F.col("prediction") == prediction) & amount.isNotNull()
     return Bins(
-        F.when(F.col("prediction") == prediction, F.log10(F.greatest(amount, F.lit(1.0)))),
+        F.when(counted, F.log10(F.greatest(amount, F.lit(1.0)))),
         bins,
         low=F.lit(0.0),
         high=F.log10(top),

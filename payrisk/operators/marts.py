@@ -7,11 +7,13 @@ those cells, so a job that needs several reads the scored table once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.functions.numeric import money, rate_pct
-from payrisk.functions.risk import amount_bucket, position_in
+from payrisk.functions.numeric import amount_from_parts, cents, cents_parts, rate_pct
+from payrisk.functions.risk import amount_bucket
 from payrisk.operators.label_counts import N_ROWS, rows_in
 from payrisk.schema import AMOUNT_BUCKETS, RISK_LEVELS, TOP_RISK_ROWS
 
@@ -20,11 +22,20 @@ def _priced(df: DataFrame) -> Column:
     """How many of the rows carry an amount (means leave out the others)."""
     if N_ROWS in df.columns:
         return F.col("n_amounts")
-    return F.when(money(F.col("amount")).isNotNull(), F.lit(1).cast("bigint")).otherwise(0)
+    return F.when(cents(F.col("amount")).isNotNull(), F.lit(1).cast("bigint")).otherwise(0)
+
 
+def _amount_parts(df: DataFrame) -> tuple[Column, Column]:
+    if N_ROWS in df.columns:
+        return F.col("cents_high"), F.col("cents_low")
+    return cents_parts(F.col("amount"))
 
-def _amount(df: DataFrame) -> Column:
-    return F.col("sum_amount") if N_ROWS in df.columns else money(F.col("amount"))
+
+def _total(df: DataFrame, condition: Column | None = None) -> Column:
+    """Exact sum of the amounts (where a condition holds); NULL if there is none."""
+    chosen = (p if condition is None else F.when(condition, p) for p in _amount_parts(df))
+    high, low = (F.sum(part) for part in chosen)
+    return amount_from_parts(high, low)
 
 
 def _bucket(df: DataFrame) -> Column:
@@ -37,26 +48,23 @@ def scored_cells(df: DataFrame) -> DataFrame:
     return df.groupBy("prediction", "risk_level", _bucket(df).alias("amount_bucket")).agg(
         F.count("*").alias(N_ROWS),
         F.sum(_priced(df)).alias("n_amounts"),
-        F.sum(_amount(df)).alias("sum_amount"),
+        *[F.sum(p).alias(n) for p, n in zip(_amount_parts(df), ("cents_high", "cents_low"))],
     )
 
 
 def summary_kpis(df: DataFrame) -> DataFrame:
     """Headline figures, one row."""
-    n, total = rows_in(df), _amount(df)
+    n = rows_in(df)
     fraud = F.col("prediction") == 1
     _, medium, high = RISK_LEVELS
 
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n).otherwise(0)), F.lit(0))
-
     sums = df.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_transactions"),
-        rows_where(fraud).alias("predicted_fraud"),
-        rows_where(F.col("risk_level") == high).alias("high_risk_transactions"),
-        rows_where(F.col("risk_level") == medium).alias("medium_risk_transactions"),
-        F.sum(total).cast("double").alias("all_amount"),
-        F.sum(F.when(fraud, total)).cast("double").alias("fraud_sum"),
+        _rows_where(df, fraud).alias("predicted_fraud"),
+        _rows_where(df, F.col("risk_level") == high).alias("high_risk_transactions"),
+        _rows_where(df, F.col("risk_level") == medium).alias("medium_risk_transactions"),
+        _total(df).alias("all_amount"),
+        _total(df, fraud).alias("fraud_sum"),
         F.sum(F.when(fraud, _priced(df)).otherwise(0)).alias("fraud_amounts"),
     )
     zero = F.lit(0.0)
@@ -74,18 +82,51 @@ def summary_kpis(df: DataFrame) -> DataFrame:
     )
 
 
+def _per_label(
+    df: DataFrame,
+    column: str,
+    labels: tuple,
+    measures: Callable[[Column], dict[str, Column]],
+) -> DataFrame:
+    """One row per label, in the order of the labels.
+
+    The labels are known, so this is one aggregate without a group key: nothing to shuffle
+    but one row per task, and the order needs no sort.
+    """
+    values = {label: measures(F.col(column) == label) for label in labels}
+    flat = {
+        f"{name}_{i}": value
+        for i, label in enumerate(labels)
+        for name, value in values[label].items()
+    }
+    one_row = df.agg(*[value.alias(name) for name, value in flat.items()])
+    rows = [
+        F.struct(
+            F.lit(label).alias(column),
+            *[F.col(f"{name}_{i}").alias(name) for name in values[label]],
+        )
+        for i, label in enumerate(labels)
+    ]
+    return one_row.select(F.inline(F.array(*rows)))
+
+
+def _rows_where(df: DataFrame, condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, rows_in(df)).otherwise(0)), F.lit(0))
+
+
 def risk_level_summary(df: DataFrame) -> DataFrame:
     """Count, total and mean amount per risk level; levels that do not occur are left out."""
-    sums = (
-        df.filter(F.col("risk_level").isNotNull())
-        .groupBy("risk_level")
-        .agg(
-            F.sum(rows_in(df)).alias("transactions"),
-            F.sum(_amount(df)).cast("double").alias("sum_amount"),
-            F.sum(_priced(df)).alias("n_amounts"),
-        )
+    sums = _per_label(
+        df,
+        "risk_level",
+        RISK_LEVELS,
+        lambda level: {
+            "transactions": _rows_where(df, level),
+            "sum_amount": _total(df, level),
+            "n_amounts": F.sum(F.when(level, _priced(df)).otherwise(0)),
+        },
     )
-    return sums.orderBy(position_in(F.col("risk_level"), RISK_LEVELS)).select(
+    return sums.filter(F.col("transactions") > 0).select(
         "risk_level",
         "transactions",
         F.coalesce("sum_amount", F.lit(0.0)).alias("total_amount"),
@@ -97,45 +138,40 @@ def risk_level_summary(df: DataFrame) -> DataFrame:
 
 def amount_buckets(df: DataFrame) -> DataFrame:
     """Count and predicted frauds per amount band; bands that do not occur are left out."""
-    n = rows_in(df)
-    sums = (
-        df.withColumn("amount_bucket", _bucket(df))
-        .filter(F.col("amount_bucket").isNotNull())
-        .groupBy("amount_bucket")
-        .agg(
-            F.sum(n).alias("transactions"),
-            F.sum(F.when(F.col("prediction") == 1, n).otherwise(0)).alias("fraud"),
-        )
-        .withColumn("fraud_rate_%", rate_pct(F.col("fraud"), F.col("transactions")))
+    fraud = F.col("prediction") == 1
+    sums = _per_label(
+        df.withColumn("amount_bucket", _bucket(df)),
+        "amount_bucket",
+        AMOUNT_BUCKETS,
+        lambda band: {
+            "transactions": _rows_where(df, band),
+            "fraud": _rows_where(df, band & fraud),
+        },
+    )
+    return sums.filter(F.col("transactions") > 0).withColumn(
+        "fraud_rate_%", rate_pct(F.col("fraud"), F.col("transactions"))
     )
-    return sums.orderBy(position_in(F.col("amount_bucket"), AMOUNT_BUCKETS))
 
 
 def predicted_class_counts(df: DataFrame) -> DataFrame:
-    return (
-        df.filter(F.col("prediction").isNotNull())
-        .groupBy("prediction")
-        .agg(F.sum(rows_in(df)).alias("count"))
-        .orderBy("prediction")
+    counts = _per_label(
+        df, "prediction", (0.0, 1.0), lambda value: {"count": _rows_where(df, value)}
     )
+    return counts.filter(F.col("count") > 0)
 
 
 def risk_level_counts(df: DataFrame, missing: int | None = 0) -> DataFrame:
     """Count per level over all three levels in order; absent ones show ``missing``."""
-    n = rows_in(df)
-    per_level = df.agg(
-        *[F.sum(F.when(F.col("risk_level") == level, n)).alias(level) for level in RISK_LEVELS]
+    counts = _per_label(
+        df, "risk_level", RISK_LEVELS, lambda level: {"transactions": _rows_where(df, level)}
     )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(level).alias("risk_level"),
-                F.coalesce(F.col(level), F.lit(missing).cast("bigint")).alias("transactions"),
-            )
-            for level in RISK_LEVELS
-        ]
+    if missing == 0:
+        return counts
+    absent = F.lit(missing).cast("bigint")
+    return counts.withColumn(
+        "transactions",
+        F.when(F.col("transactions") > 0, F.col("transactions")).otherwise(absent),
     )
-    return per_level.select(F.inline(rows))
 
 
 def sample_kpis(sample: DataFrame) -> DataFrame:

@@ -62,15 +62,15 @@ def downsample_keep_fraud(
     sample itself is a filter.
     """
     fraud, safe = F.col("prediction") == 1, F.col("prediction") == 0
-    frauds = F.count_if(fraud)
     others = F.count_if(safe)
-    room = F.greatest(F.lit(limit).cast("bigint") - frauds, F.lit(0))
-    cut = df.agg(
-        F.when(F.count("*") <= limit, F.lit(None).cast("bigint"))
-        .when(others == 0, F.lit(HASH_SPACE))
-        .otherwise((room.cast("double") / others * F.lit(float(HASH_SPACE))).cast("bigint"))
+    room = F.greatest(F.lit(limit).cast("bigint") - F.count_if(fraud), F.lit(0))
+    cut = F.when(others > 0, (room.cast("double") / others * HASH_SPACE).cast("bigint"))
+    keep_all = F.lit(HASH_SPACE + 1)
+    below = df.agg(
+        F.when(F.count("*") <= limit, keep_all).otherwise(F.coalesce(cut, F.lit(0)))
     ).scalar()
-    return df.filter(cut.isNull() | fraud | (safe & (_hash(df, key) < cut)))
+    place = F.when(fraud, -1).when(safe, _hash(df, key)).otherwise(HASH_SPACE)
+    return df.filter(place < below)
 
 
 def downsample_exact(

@@ -22,8 +22,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_transactions(lineitem, orders, customer, supplier)
 
 
+def _to_cents(value: Column) -> Column:
+    """Round to 2 places with plain double arithmetic."""
+    return F.rint(value * F.lit(100.0)) / F.lit(100.0)
+
+
 def _opening(balance: str) -> Column:
-    return F.round(F.greatest(F.col(balance), F.lit(0.0)) * F.lit(50.0), 2)
+    return _to_cents(F.greatest(F.col(balance), F.lit(0.0)) * F.lit(50.0))
 
 
 def build_transactions(
@@ -40,10 +45,11 @@ def build_transactions(
         "o_orderkey", "o_custkey", "o_orderpriority", _opening("c_acctbal").alias("sender_before")
     )
     receivers = supplier.select("s_suppkey", _opening("s_acctbal").alias("receiver_before"))
-    lines = (
-        lineitem.join(senders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(receivers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .withColumn("amount", F.round(F.col("l_extendedprice") * F.col("l_linenumber"), 2))
+    amounts = lineitem.withColumn(
+        "amount", _to_cents(F.col("l_extendedprice") * F.col("l_linenumber"))
+    )
+    lines = amounts.join(senders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        receivers, F.col("l_suppkey") == F.col("s_suppkey")
     )
     amount, before = F.col("amount"), F.col("sender_before")
     received = F.col("receiver_before")
@@ -71,12 +77,12 @@ def build_transactions(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("nameOrig"),
         before.alias("oldbalanceOrg"),
         F.when(returned, F.lit(0.0))
-        .otherwise(F.greatest(F.round(before - amount, 2), F.lit(0.0)))
+        .otherwise(F.greatest(_to_cents(before - amount), F.lit(0.0)))
         .alias("newbalanceOrig"),
         F.concat(F.lit("M"), F.col("l_suppkey").cast("string")).alias("nameDest"),
         received.alias("oldbalanceDest"),
         F.when(open_line, received)
-        .otherwise(F.round(received + amount, 2))
+        .otherwise(_to_cents(received + amount))
         .alias("newbalanceDest"),
         F.when(returned & open_line & noisy_label, 1).otherwise(0).alias("isFraud"),
         F.when(returned & open_line & odd_line & (amount > F.lit(200_000.0)), 1)
