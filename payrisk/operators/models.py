@@ -63,19 +63,20 @@ def train_all(
     num_partitions: int | None = None,
     params: Mapping[str, Mapping] | None = None,
 ) -> dict[str, PipelineModel]:
-    """Fit several models on one persisted, column-pruned training set.
+    """Fit several models on the same column-pruned training set.
 
-    ``num_partitions`` spreads a small input over all cores. Leave it unset for large
-    inputs: it is a full shuffle of the training set.
+    Give a stored table: the fits read it a few times and keep their own compact form.
+    ``num_partitions`` is for small inputs, to use all cores: it shuffles the training set
+    and persists it while the models are fitted.
     """
     narrow = df.select(*FEATURES, LABEL)
     if num_partitions:
-        narrow = narrow.repartition(num_partitions)
-    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+        narrow = narrow.repartition(num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {kind: train(narrow, kind, **(params or {}).get(kind, {})) for kind in kinds}
     finally:
-        narrow.unpersist()
+        if num_partitions:
+            narrow.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from payrisk.functions.risk import (
     rule_score,
 )
 from payrisk.plans import jobs
-from payrisk.schema import ANALYTICS_SAMPLE_LIMIT, FEATURES
+from payrisk.schema import ANALYTICS_SAMPLE_LIMIT, FEATURES, SCORED_SCHEMA
 from payrisk.session import shared_dir
 from payrisk.sources import files
 from payrisk.sources.events import decode_events, encode_events
@@ -40,6 +40,7 @@ from payrisk.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = "tx_id"
+SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()
 SAMPLE_LIMIT = 40_000
 SMALL_INPUT_ROWS = 10_000_000
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
@@ -60,6 +61,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/payrisk-{name}-{uuid.uuid4().hex}"
 
 
+def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Write rows to the shared folder and read them back.
+
+    For operators that pass over their input more than once: the joins behind the rows run
+    a single time, and later passes read just the columns they need.
+    """
+    path = work_dir(spark, "rows")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The featured table, written to the shared folder once per session and read back."""
     place = (spark.sparkContext.applicationId, sf_dir)
@@ -70,17 +82,20 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_processed(spark, _tables[place])
 
 
-def spread_over(spark: SparkSession, df: DataFrame) -> int | None:
-    """Partition count for a training set of checked small size; None leaves it alone."""
-    return spark.sparkContext.defaultParallelism if df.count() <= SMALL_INPUT_ROWS else None
+def spread_over(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partition count for an input of checked small size; None leaves it as it is.
+
+    The count reads only the row counts in the Parquet footers.
+    """
+    small = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() <= SMALL_INPUT_ROWS
+    return spark.sparkContext.defaultParallelism if small else None
 
 
 def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _models:
-        table = stored_features(spark, sf_dir)
-        train, _ = ops.split_by_key(table, KEY)
-        _models[place] = ops.train_all(train, num_partitions=spread_over(spark, table))
+        train, _ = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+        _models[place] = ops.train_all(train, num_partitions=spread_over(spark, sf_dir))
     return _models[place]
 
 
@@ -100,6 +115,13 @@ def over_rules(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(rule_scored(spark, sf_dir))
 
 
+def over_stored_rules(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """Like ``over_rules`` for operators of several passes, over the columns they read."""
+    return lambda spark, sf_dir: operator(
+        stored(spark, rule_scored(spark, sf_dir).select(*columns))
+    )
+
+
 def over_features(
     operator: Callable[[DataFrame], DataFrame], drained: Drained = "strict"
 ) -> Query:
@@ -167,7 +189,8 @@ def bi_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = ops.auc(rule_scored(spark, sf_dir))
+    scored = rule_scored(spark, sf_dir).select("isFraud", "fraud_probability")
+    value = ops.auc(stored(spark, scored))
     return spark.createDataFrame([(round(value, 6),)], "auc double")
 
 
@@ -186,7 +209,7 @@ def adhoc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = ops.split_random(transactions(spark, sf_dir).select(KEY, "isFraud"))
+    train, test = ops.split_random(stored(spark, transactions(spark, sf_dir).select(KEY)))
     parts = [df.withColumn("split", F.lit(n)) for n, df in (("train", train), ("test", test))]
     return reduce(DataFrame.unionByName, parts).select(KEY, "split")
 
@@ -247,9 +270,8 @@ def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job with lighter models; returns their comparison."""
     tx = transactions(spark, sf_dir)
     lighter = {"lr": {"maxIter": 20}, "rf": {"numTrees": 10}, "gbt": {"maxIter": 5}}
-    return jobs.run_training(
-        tx, work_dir(spark, "training"), KEY, num_partitions=spread_over(spark, tx), params=lighter
-    )
+    out, partitions = work_dir(spark, "training"), spread_over(spark, sf_dir)
+    return jobs.run_training(tx, out, KEY, num_partitions=partitions, params=lighter)
 
 
 def export_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,34 +338,38 @@ QUERIES: dict[str, Query] = {
     "amount_buckets": over_rules(ops.amount_buckets),
     "predicted_class_counts": over_rules(ops.predicted_class_counts),
     "risk_level_counts": over_rules(ops.risk_level_counts),
-    "sample_kpis": over_rules(
-        lambda df: ops.sample_kpis(ops.downsample_keep_fraud(df, ANALYTICS_SAMPLE_LIMIT, KEY))
+    "sample_kpis": over_stored_rules(
+        lambda df: ops.sample_kpis(ops.downsample_keep_fraud(df, ANALYTICS_SAMPLE_LIMIT, KEY)),
+        KEY, "amount", "prediction", "risk_level",
     ),
     "bi_marts": bi_marts,
     "top_risk": over_rules(
         lambda df: ops.top_risk(df, tiebreak=(KEY,)).select(KEY, "type", "amount", "risk_score")
     ),
     # distributions
-    "probability_histogram": over_rules(ops.probability_histogram),
-    "tail_histogram": over_rules(ops.tail_histogram),
-    "risk_score_histogram": over_rules(ops.risk_score_histogram),
-    "amount_histogram": over_rules(lambda df: ops.histogram(df, "amount", 40)),
-    "amount_log_histogram": over_rules(_rounded_log_bins),
-    "distributions": over_rules(lambda df: _rounded_bins(ops.distributions(df))),
+    "probability_histogram": over_stored_rules(ops.probability_histogram, "fraud_probability"),
+    "tail_histogram": over_stored_rules(ops.tail_histogram, "fraud_probability"),
+    "risk_score_histogram": over_stored_rules(ops.risk_score_histogram, "risk_score"),
+    "amount_histogram": over_stored_rules(lambda df: ops.histogram(df, "amount", 40), "amount"),
+    "amount_log_histogram": over_stored_rules(_rounded_log_bins, "amount", "prediction"),
+    "distributions": over_stored_rules(
+        lambda df: _rounded_bins(ops.distributions(df)),
+        "amount", "prediction", "fraud_probability", "risk_score",
+    ),
     # sampling
     "split_by_key": lambda spark, sf_dir: ops.with_split(
         transactions(spark, sf_dir).select(KEY), KEY
     ),
     "split_counts": split_counts,
     "split_random": split_random,
-    "fact_table": over_rules(
-        lambda df: ops.downsample_keep_fraud(project_export(df, KEY), key=KEY)
+    "fact_table": over_stored_rules(
+        lambda df: ops.downsample_keep_fraud(df, key=KEY), KEY, *SCORED_COLUMNS
     ),
-    "downsample_by_hash": over_rules(
-        lambda df: ops.downsample_keep_fraud(project_export(df, KEY), SAMPLE_LIMIT, KEY)
+    "downsample_by_hash": over_stored_rules(
+        lambda df: ops.downsample_keep_fraud(df, SAMPLE_LIMIT, KEY), KEY, *SCORED_COLUMNS
     ),
-    "downsample_exact": over_rules(
-        lambda df: ops.downsample_exact(project_export(df, KEY), SAMPLE_LIMIT, KEY)
+    "downsample_exact": over_stored_rules(
+        lambda df: ops.downsample_exact(df, SAMPLE_LIMIT, KEY), KEY, *SCORED_COLUMNS
     ),
     # models
     "rule_auc": rule_auc,
