@@ -38,15 +38,15 @@ def rate_pct(part: Column, whole: Column) -> Column:
     return F.bround(ratio * F.lit(100.0), 4)
 
 
-def stable_hash32(key: Column) -> Column:
-    """First 32 bits of md5(key) as BIGINT in [0, 2^32): the same in any engine."""
-    digest = F.md5(key.cast("string").cast("binary"))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+def stable_hash32(key: Column, salt: str = "") -> Column:
+    """First 32 bits of md5(salt + key) as BIGINT in [0, 2^32): the same in any engine."""
+    text = F.concat(F.lit(salt), key.cast("string")) if salt else key.cast("string")
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
-def row_hash32(columns: list[str]) -> Column:
+def row_hash32(columns: list[str], salt: str = "") -> Column:
     """32-bit hash over whole rows, for tables without an identifier."""
-    return F.pmod(F.xxhash64(*columns), F.lit(HASH_SPACE))
+    return F.pmod(F.xxhash64(F.lit(salt), *columns), F.lit(HASH_SPACE))
 
 
 def is_number(value: Column) -> Column:

@@ -17,6 +17,8 @@ from payrisk.functions.risk import amount_bucket
 from payrisk.operators.label_counts import N_ROWS, rows_in
 from payrisk.schema import AMOUNT_BUCKETS, RISK_LEVELS, TOP_RISK_ROWS
 
+TOP_TASKS = 10_000
+
 
 def _priced(df: DataFrame) -> Column:
     """How many of the rows carry an amount (means leave out the others)."""
@@ -185,6 +187,9 @@ def sample_kpis(sample: DataFrame) -> DataFrame:
 
 
 def top_risk(df: DataFrame, n: int = TOP_RISK_ROWS, tiebreak: tuple[str, ...] = ()) -> DataFrame:
-    """The n riskiest rows. NULL and NaN scores sort last; name a key to settle ties."""
+    """The n riskiest rows. NULL and NaN scores sort last; name a key to settle ties.
+
+    Each task sends on its own n best rows. Their number is bounded with that of the tasks.
+    """
     score = F.nanvl(F.col("risk_score"), F.lit(None).cast("double"))
-    return df.orderBy(score.desc_nulls_last(), *tiebreak).limit(n)
+    return df.coalesce(TOP_TASKS).orderBy(score.desc_nulls_last(), *tiebreak).limit(n)

@@ -18,13 +18,21 @@ SMALL_GROUP = 100_000
 DIGIT_BITS = 16
 
 
-def _hash(df: DataFrame, key: str | None) -> Column:
-    return stable_hash32(F.col(key)) if key else row_hash32(df.columns)
+# Samples draw on another hash than splits, or every sampled row would be a training row.
+SAMPLE_SALT = "sample:"
+HEAD_TASKS = 8
+
+
+def _hash(df: DataFrame, key: str | None, salt: str = "") -> Column:
+    return stable_hash32(F.col(key), salt) if key else row_hash32(df.columns, salt)
 
 
 def head_transactions(df: DataFrame, n: int = REPLAY_LIMIT) -> DataFrame:
-    """The first n rows a scan returns."""
-    return df.limit(n)
+    """The first n rows a scan returns.
+
+    Few tasks, since each stops after n rows of its own before they meet in one place.
+    """
+    return df.coalesce(HEAD_TASKS).limit(n)
 
 
 def with_split(
@@ -69,7 +77,7 @@ def downsample_keep_fraud(
     below = df.agg(
         F.when(F.count("*") <= limit, keep_all).otherwise(F.coalesce(cut, F.lit(0)))
     ).scalar()
-    place = F.when(fraud, -1).when(safe, _hash(df, key)).otherwise(HASH_SPACE)
+    place = F.when(fraud, -1).when(safe, _hash(df, key, SAMPLE_SALT)).otherwise(HASH_SPACE)
     return df.filter(place < below)
 
 
@@ -94,7 +102,7 @@ def downsample_exact(
     if need <= 0:
         return kept
 
-    key_hash = _hash(df, key)
+    key_hash = _hash(df, key, SAMPLE_SALT)
     row_hash = F.xxhash64(*columns)
     slices = [_digit(key_hash, shift) for shift in (16, 0)]
     slices += [_digit(row_hash, shift) for shift in (48, 32, 16, 0)]

@@ -200,6 +200,50 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.model_comparison(models, test)
 
 
+def model_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model, the held-out rows it gave a risk level: all of them, whatever it learned."""
+    _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+    parts = []
+    for kind, model in trained_models(spark, sf_dir).items():
+        scored = ops.score(model, test).filter(F.col("risk_level").isNotNull())
+        kpis = ops.summary_kpis(scored).select("total_transactions", "total_amount")
+        frauds = scored.agg(F.count_if(F.col("isFraud") == 1).alias("frauds"))
+        parts.append(
+            kpis.select(
+                F.lit(kind).alias("model"),
+                F.col("total_transactions").alias("transactions"),
+                frauds.scalar().alias("frauds"),
+                "total_amount",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gbt_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the marts over the model-scored table: each must cover every row."""
+    model = trained_models(spark, sf_dir)["gbt"]
+    scored = stored(
+        spark,
+        ops.score(model, stored_features(spark, sf_dir)).select(
+            "amount", "prediction", "fraud_probability", "risk_score", "risk_level"
+        ),
+    )
+    total = F.sum("transactions").alias("transactions")
+    kpis = ops.summary_kpis(scored).withColumnRenamed("total_transactions", "transactions")
+    levels, bins = ops.risk_level_summary(scored), ops.probability_histogram(scored)
+    parts = {
+        "kpis": kpis.select("transactions", "total_amount"),
+        "levels": levels.agg(total, F.round(F.sum("total_amount"), 2).alias("total_amount")),
+        "histogram": bins.agg(
+            F.sum("count").alias("transactions"), F.lit(None).cast("double").alias("total_amount")
+        ),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(F.lit(mart).alias("mart"), "*") for mart, df in parts.items()],
+    )
+
+
 def adhoc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw transactions through the saved and reloaded model."""
     folder = work_dir(spark, "models")
@@ -377,6 +421,8 @@ QUERIES: dict[str, Query] = {
     "forest_scores": model_scored("rf"),
     "gbt_scores": model_scored("gbt"),
     "model_comparison": model_comparison,
+    "model_coverage": model_coverage,
+    "gbt_conservation": gbt_conservation,
     "adhoc_scores": adhoc_scores,
     "gbt_summary_kpis": over_gbt(ops.summary_kpis),
     "gbt_risk_level_summary": over_gbt(ops.risk_level_summary),

@@ -80,6 +80,7 @@ scored as (
   from risky)"""
 
 HASH = "cast(('0x' || substr(md5(tx_id), 1, 8)) as bigint)"
+SAMPLE_HASH = "cast(('0x' || substr(md5('sample:' || tx_id), 1, 8)) as bigint)"
 EXPORTED = (
     'tx_id, amount, "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", '
     "prediction, fraud_probability"
@@ -145,14 +146,14 @@ sizes as (
 sampled as (
   select scored.* from scored, sizes
   where total <= {limit} or prediction = 1
-        or (prediction = 0 and {HASH} < cast(floor(cut) as bigint)))"""
+        or (prediction = 0 and {SAMPLE_HASH} < cast(floor(cut) as bigint)))"""
 
 
 def _sampled_exactly(limit: int) -> str:
     return _with(
         f"""{SCORED},
 ranked as (
-  select *, row_number() over (partition by prediction order by {HASH}, tx_id) as place,
+  select *, row_number() over (partition by prediction order by {SAMPLE_HASH}, tx_id) as place,
          count(*) over () as total,
          count(*) filter (where prediction = 1) over () as frauds
   from scored)""",
@@ -354,6 +355,20 @@ from scored where amount_bucket is not null group by amount_bucket""",
         "fact_table": _with(_sampled(fact_limit), exported),
         "downsample_by_hash": _with(_sampled(sample_limit), exported),
         "downsample_exact": _sampled_exactly(sample_limit),
+        "model_coverage": _with(
+            f"{TX},\nmarked as (select *, {split} from tx)",
+            f"""select model, {_count()} as transactions, {_count('"isFraud" = 1')} as frauds,
+       cast(sum(cast(amount as decimal(18,2))) as double) as total_amount
+from marked, (values ('lr'), ('rf'), ('gbt')) as models(model)
+where split = 'test' group by model""",
+        ),
+        "gbt_conservation": _with(
+            TX,
+            f"""select mart, {_count()} as transactions,
+       case when mart <> 'histogram'
+            then cast(sum(cast(amount as decimal(18,2))) as double) end as total_amount
+from tx, (values ('kpis'), ('levels'), ('histogram')) as marts(mart) group by mart""",
+        ),
         "rule_auc": _with(
             f"{SCORED},{by_rank}",
             """select round((sum(r) filter (where y = 1)

@@ -13,6 +13,10 @@ def word(key: str) -> int:
     return int(hashlib.md5(key.encode()).hexdigest()[:8], 16)
 
 
+def sample_word(key: str) -> int:
+    return word("sample:" + key)
+
+
 @pytest.fixture(scope="module")
 def table(spark):
     rows = [(f"k{i}", float(i % 10 == 0), i) for i in range(2000)]
@@ -40,8 +44,15 @@ def test_split_random_covers_all_rows(table):
     assert 1450 < train.count() < 1750
 
 
+def test_samples_are_not_tied_to_the_split(table):
+    sample = ops.downsample_exact(table, 500, "k").filter("prediction = 0")
+    train, _ = ops.split_by_key(sample, "k")
+    assert 0.65 < train.count() / sample.count() < 0.95
+
+
 def test_head(table):
     assert ops.head_transactions(table, 17).count() == 17
+    assert ops.head_transactions(table.repartition(50), 1999).count() == 1999
 
 
 @pytest.mark.parametrize("sample", [ops.downsample_keep_fraud, ops.downsample_exact])
@@ -55,7 +66,7 @@ def test_hash_sample_is_the_hash_rule(table):
     kept = {r["k"] for r in ops.downsample_keep_fraud(table, 1000, "k").collect()}
     cut = int((1000 - 200) / 1800 * 2**32)
     assert kept == {
-        f"k{i}" for i in range(2000) if i % 10 == 0 or word(f"k{i}") < cut
+        f"k{i}" for i in range(2000) if i % 10 == 0 or sample_word(f"k{i}") < cut
     }
 
 
@@ -64,7 +75,7 @@ def test_exact_sample_against_brute_force(table, monkeypatch, small_group):
     monkeypatch.setattr(sampling, "SMALL_GROUP", small_group)
     for limit in (201, 777, 1999):
         kept = [r["k"] for r in ops.downsample_exact(table, limit, "k").collect()]
-        others = sorted((f"k{i}" for i in range(2000) if i % 10), key=lambda k: (word(k), k))
+        others = sorted((f"k{i}" for i in range(2000) if i % 10), key=lambda k: (sample_word(k), k))
         frauds = {f"k{i}" for i in range(0, 2000, 10)}
         assert len(kept) == limit
         assert set(kept) == frauds | set(others[: limit - 200])
