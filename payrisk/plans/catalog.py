@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from payrisk import operators as ops
 from payrisk.functions.features import Drained, add_features
+from payrisk.functions.numeric import amount_from_parts, cents_parts
 from payrisk.functions.risk import (
     add_amount_bucket,
     project_export,
@@ -42,7 +43,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEY = "tx_id"
 SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()
 SAMPLE_LIMIT = 40_000
-SMALL_INPUT_ROWS = 10_000_000
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
 
 _tables: dict[tuple[str, str], str] = {}
@@ -82,20 +82,11 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_processed(spark, _tables[place])
 
 
-def spread_over(spark: SparkSession, sf_dir: str) -> int | None:
-    """Partition count for an input of checked small size; None leaves it as it is.
-
-    The count reads only the row counts in the Parquet footers.
-    """
-    small = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() <= SMALL_INPUT_ROWS
-    return spark.sparkContext.defaultParallelism if small else None
-
-
 def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _models:
         train, _ = ops.split_by_key(stored_features(spark, sf_dir), KEY)
-        _models[place] = ops.train_all(train, num_partitions=spread_over(spark, sf_dir))
+        _models[place] = ops.train_all(train)
     return _models[place]
 
 
@@ -206,14 +197,13 @@ def model_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for kind, model in trained_models(spark, sf_dir).items():
         scored = ops.score(model, test).filter(F.col("risk_level").isNotNull())
-        kpis = ops.summary_kpis(scored).select("total_transactions", "total_amount")
-        frauds = scored.agg(F.count_if(F.col("isFraud") == 1).alias("frauds"))
+        high, low = cents_parts(F.col("amount"))
         parts.append(
-            kpis.select(
+            scored.agg(
                 F.lit(kind).alias("model"),
-                F.col("total_transactions").alias("transactions"),
-                frauds.scalar().alias("frauds"),
-                "total_amount",
+                F.count("*").alias("transactions"),
+                F.count_if(F.col("isFraud") == 1).alias("frauds"),
+                amount_from_parts(F.sum(high), F.sum(low)).alias("total_amount"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -314,8 +304,7 @@ def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole training job with lighter models; returns their comparison."""
     tx = transactions(spark, sf_dir)
     lighter = {"lr": {"maxIter": 20}, "rf": {"numTrees": 10}, "gbt": {"maxIter": 5}}
-    out, partitions = work_dir(spark, "training"), spread_over(spark, sf_dir)
-    return jobs.run_training(tx, out, KEY, num_partitions=partitions, params=lighter)
+    return jobs.run_training(tx, work_dir(spark, "training"), KEY, params=lighter)
 
 
 def export_job(spark: SparkSession, sf_dir: str) -> DataFrame:
