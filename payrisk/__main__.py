@@ -42,7 +42,8 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = create_session(f"payrisk-{args.command}")
     if args.command == "train":
-        plans.run_training(sources.read_transactions(spark, args.data), args.out).show()
+        rows = sources.read_transactions(spark, args.data)
+        plans.run_training(rows, args.out).show(truncate=False)
     elif args.command == "export":
         model = ops.load_model(spark, args.model)
         plans.run_export(sources.read_transactions(spark, args.data), model, args.out)

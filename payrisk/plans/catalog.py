@@ -279,8 +279,8 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule scores written to two sinks from one read; counts per sink and risk level."""
     out = work_dir(spark, "fanout")
     scored = score_stream(event_stream(spark, sf_dir), rule_score, keep=(KEY,))
-    sinks = {"csv": batch_files(f"{out}/csv", "csv"), "parquet": batch_files(f"{out}/pq", "parquet")}
-    query = start_fanout(scored, list(sinks.values()), f"{out}/checkpoint", availableNow=True)
+    sinks = [batch_files(f"{out}/csv", "csv"), batch_files(f"{out}/pq", "parquet")]
+    query = start_fanout(scored, sinks, f"{out}/checkpoint", availableNow=True)
     query.awaitTermination()
     csv = spark.read.schema(scored.schema).option("header", True).csv(f"{out}/csv")
     parquet = spark.read.schema(scored.schema).parquet(f"{out}/pq")

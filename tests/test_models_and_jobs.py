@@ -133,3 +133,26 @@ def test_session_and_view(spark):
     view = transactions(spark, "/root/testdata/sf0.001")
     assert view.count() == view.select("tx_id").distinct().count() == 6000
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_command_line_end_to_end(spark, tx_small, tmp_path, capsys):
+    from payrisk.__main__ import main
+    from payrisk.sources import write_csv
+
+    data, out = str(tmp_path / "data"), str(tmp_path / "out")
+    write_csv(tx_small.drop("tx_id"), data)
+    main(["train", data, out])
+    assert "Gradient Boosted Trees" in capsys.readouterr().out
+    model = f"{out}/models/gbt_model"
+    main(["export", data, model, out])
+    predictions = f"{out}/fraud_predictions"
+    main(["marts", predictions, f"{out}/fraud_by_type", f"{out}/bi", "--limit", "2000", "--exact"])
+    kpis = spark.read.option("header", True).csv(f"{out}/bi/summary_kpis").first()
+    assert int(kpis["total_transactions"]) == tx_small.count()
+    fact = spark.read.option("header", True).csv(f"{out}/bi/transactions_scored")
+    assert fact.count() == max(2000, int(kpis["predicted_fraud"]))
+    main(["distributions", predictions, f"{out}/bi/distributions"])
+    bins = spark.read.option("header", True).csv(f"{out}/bi/distributions")
+    assert bins.count() == 40 + 30 + 40 + 59 + 59
+    main(["score", data, model, "--rows", "3"])
+    assert "risk_level" in capsys.readouterr().out
