@@ -28,11 +28,12 @@ from payrisk.plans import jobs
 from payrisk.schema import ANALYTICS_SAMPLE_LIMIT, FEATURES, SCORED_SCHEMA
 from payrisk.session import shared_dir
 from payrisk.sources import files
-from payrisk.sources.events import decode_events, encode_events
-from payrisk.sources.tx_view import TX_COLUMNS, build_transactions, transactions
+from payrisk.sources.events import MESSAGE_SCHEMA, decode_events, encode_events
+from payrisk.sources.tx_view import TX_COLUMNS, transactions
 from payrisk.streaming import (
     batch_files,
     model_scorer,
+    read_tx_stream,
     score_stream,
     start_fanout,
     start_file_sink,
@@ -43,6 +44,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEY = "tx_id"
 SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()
 SAMPLE_LIMIT = 40_000
+FILES_PER_BATCH = 1_000
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
 
 _tables: dict[tuple[str, str], str] = {}
@@ -254,14 +256,15 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines read as a stream, mapped to transactions and encoded as messages."""
-    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
-    # Written as a pattern, so that the table may be a folder or a single file.
-    lines = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{lineitem.parquet}}")
-    orders, customer, supplier = (
-        spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "supplier")
-    )
-    return encode_events(build_transactions(lines, orders, customer, supplier))
+    """The transactions as stored messages, read back as a stream.
+
+    The joins behind the messages run once, in a batch; each micro-batch is then a map over
+    the next files.
+    """
+    path = work_dir(spark, "messages")
+    encode_events(transactions(spark, sf_dir)).write.parquet(path)
+    options = {"maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    return read_tx_stream(spark, "parquet", options, MESSAGE_SCHEMA, path)
 
 
 def stream_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ def _opening(balance: str) -> Column:
 def build_transactions(
     lineitem: DataFrame, orders: DataFrame, customer: DataFrame, supplier: DataFrame
 ) -> DataFrame:
-    """Join order lines to their parties. ``lineitem`` may be a stream.
+    """Join order lines to their parties.
 
     Orders meet customers first: that moves the narrower, shorter table, so each order
     line is shuffled at most for its order and its supplier. Lines and orders grow alike, so
