@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -38,20 +36,12 @@ def create_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder; elsewhere a missing setting is an error, since a
-    machine-local folder would be lost with its machine.
+    The cluster names it in ``spark.checkpoint.dir``. Where it is unset, a folder in the
+    session's warehouse is used, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
-        return named
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="payrisk-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    folder = named or current or f"{spark.conf.get('spark.sql.warehouse.dir')}/_payrisk"
+    if not current:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
