@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +22,7 @@ from payrisk.llm.common import stored, text_or_empty
 SHARDS = 16
 FIRST_BITS = 14  # 16,384 ranges at first
 MORE_BITS = 8
+LARGE_PART = 128  # a range above this part of a shard is divided before all others
 CELLS = 4096
 
 
@@ -81,8 +83,8 @@ class Line:
         for left in range(shards, 0, -1):
             most = self.reach(start, capacity)
             even = self.upto[start] + (self.total - self.upto[start]) / left
-            above = bisect_left(self.upto, even)
-            near = sorted((above - 1, above), key=lambda k: abs(self.upto[min(k, len(self.units))] - even))
+            above = min(bisect_left(self.upto, even), len(self.units))
+            near = sorted((above - 1, above), key=lambda k: abs(self.upto[k] - even))
             fitting = [k for k in near if start <= k <= most and self.fits(capacity, left - 1, k)]
             start = fitting[0] if fitting else most
             ends.append(start)
@@ -96,57 +98,56 @@ def _summed(groups: DataFrame, bits: int) -> list[Unit]:
     return [Unit(*row[1:]) for row in ranges.collect()]
 
 
-def _to_divide(line: Line, capacity: int, shards: int) -> set[int]:
-    """Units of several groups in which a cut of the best partition may fall.
+def _to_divide(line: Line, capacity: int, shards: int) -> list[tuple[int, int]]:
+    """Runs of units, as (start, end), in which a cut of the best partition may fall.
 
     Moving each cut to the end of its unit adds at most one unit to a shard, so the best
     capacity is no more than one unit below. Greedy cuts grow with the capacity, which bounds
-    each from both sides.
+    each from both sides. Units far larger than others are divided first: they hold a hot
+    group, which must not widen those bounds.
     """
     several = [i for i, u in enumerate(line.units) if u.groups > 1]
     if not several:
-        return set()
-    large = {i for i in several if line.units[i].size * shards > line.total}
+        return []
+    largest = sorted(several, key=lambda i: -line.units[i].size)[:shards]
+    large = sorted(i for i in largest if line.units[i].size * shards * LARGE_PART > line.total)
     if large:
-        return large
-    widest = max(line.units[i].size for i in several)
+        return [(i, i + 1) for i in large]
+    widest = line.units[largest[0]].size
     low = line.greedy(max(capacity - widest, -(-line.total // shards)), shards)
     high = line.greedy(capacity + widest, shards)
-    near = {i for a, b in zip(low, high, strict=True) for i in range(max(a - 1, 0), min(b + 1, len(line.units)))}
-    return near & set(several)
+    runs: list[tuple[int, int]] = []
+    for a, b in zip(low, high, strict=True):
+        start, end = max(a - 1, 0), min(b + 1, len(line.units))
+        if runs and start <= runs[-1][1]:
+            start, end = runs.pop()[0], max(end, start)
+        runs.append((start, end))
+    return [r for r in runs if any(line.units[i].groups > 1 for i in range(*r))]
 
 
 def best_cuts(groups: DataFrame, shards: int = SHARDS) -> tuple[int, list[int | None]]:
     """(capacity, last hash of each shard but the last) for groups of (hash, size)."""
-    units, bits = sorted(_summed(groups, FIRST_BITS), key=lambda u: u.first), FIRST_BITS
+    bits = FIRST_BITS
+    units = _summed(groups, bits)
     while True:
-        line = Line(units)
+        line = Line(sorted(units, key=lambda u: u.first))
         capacity = line.capacity(shards)
         divide = _to_divide(line, capacity, shards)
         if not divide:
             break
         bits = min(64, bits + MORE_BITS)
-        spans: list[list[int]] = []
-        for i in sorted(divide):
-            if spans and spans[-1][1] == i:
-                spans[-1][1] = i + 1
-            else:
-                spans.append([i, i + 1])
-        inside = F.lit(False)
-        for a, b in spans:
-            inside = inside | F.col("hash").between(units[a].first, units[b - 1].last)
-        finer = _summed(groups.filter(inside), bits)
-        kept = [u for i, u in enumerate(units) if i not in divide]
-        # ranges between two divided units hold only units kept whole
-        taken = [(units[i].first, units[i].last) for i in sorted(divide)]
-        starts = [t[0] for t in taken]
-        for u in finer:
-            k = bisect_right(starts, u.first) - 1
-            if k >= 0 and u.last <= taken[k][1]:
-                kept.append(u)
-        units = sorted(kept, key=lambda u: u.first)
+        inside = reduce(
+            lambda a, b: a | b,
+            [
+                F.col("hash").between(line.units[a].first, line.units[b - 1].last)
+                for a, b in divide
+            ],
+        )
+        gone = {i for a, b in divide for i in range(a, b)}
+        units = [u for i, u in enumerate(line.units) if i not in gone]
+        units += _summed(groups.filter(inside), bits)
     ends = line.cuts(capacity, shards)
-    return capacity, [units[e - 1].last if e else None for e in ends[:-1]]
+    return capacity, [line.units[e - 1].last if e else None for e in ends[:-1]]
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
