@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payrisk.session import shared_dir
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 # The characters between words, and their regular expression.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -17,6 +20,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables. Python workers are told where this package lies."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
