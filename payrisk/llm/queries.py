@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payrisk.llm import mixing, near_dedup, quality, sharding, url_filter
+from payrisk.llm import decontamination, mixing, near_dedup, quality, sharding, url_filter
 from payrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,9 @@ def over(name: str, operator: Callable[[DataFrame], DataFrame]) -> Query:
 QUERIES: dict[str, Query] = {
     "op3_url_filter": over("pages", url_filter.url_table),
     "op4_sharding": over("documents", sharding.shard_table),
+    "op5_decontamination": lambda spark, sf_dir: decontamination.leak_table(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
     "op6_near_dedup": over("documents", near_dedup.near_table),
     "op8_mixing": over("documents", mixing.mix_table),
     "op9_quality": over("documents", quality.quality_table),
