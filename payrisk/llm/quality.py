@@ -196,6 +196,7 @@ def _concentrate(rows: DataFrame, fit: DataFrame, by: list[str]) -> DataFrame:
     """One step: the estimate from the nearest part of each group, found by distance bins."""
     bin_no = F.floor(F.log2(F.col("d2") + 1e-6) * BINS_PER_DOUBLING)
     binned = _with_distance(rows, fit, by).groupBy(*by, bin_no.alias("bin")).agg(*_moments())
+    binned = stored(binned, "mcd-bins")  # merged by group and bin before a group meets in one task
     upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bin"))
     whole = F.sum("n").over(Window.partitionBy(*by))
     near = binned.withColumn("upto", upto).withColumn("whole", whole)
