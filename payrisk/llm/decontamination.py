@@ -1,6 +1,6 @@
 """Benchmark decontamination by edit distance over item-sized windows.
 
-Texts are sequences of words, A-Z lower-cased. A window of as many words as an item holds is
+Texts are sequences of lower-cased words. A window of as many words as an item holds is
 embedded by a CGK random walk, which maps edit distance to Hamming distance: each step of the
 walk puts out the current word and moves on or stays, as a random function of step and word
 says, so two walks fall into step again soon after an edit. Bit-sampling keys over the
@@ -27,8 +27,8 @@ from payrisk.llm.common import stored, text_or_empty
 from payrisk.llm.tokens import U64, Words, mixed, parts, random64, signed, words
 
 MAX_EDIT_PCT = 20  # of an item's words
-WALKS = 4
-SAMPLES = 16  # keys per walk
+WALKS = 8
+SAMPLES = 8  # keys per walk
 POSITIONS = 2  # sampled positions per key
 BITMAP_BITS = 23  # 1 MB per bitmap
 
@@ -114,7 +114,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def item_table(benchmark: DataFrame) -> DataFrame:
     kind = benchmark.schema["item_id"].dataType.simpleString()
-    rows = benchmark.select("item_id", text_or_empty().alias("text")).mapInArrow(
+    rows = benchmark.select("item_id", F.lower(text_or_empty()).alias("text")).mapInArrow(
         _items,
         f"item_id {kind}, n bigint, item_words binary, vocabulary array<bigint>, keys array<bigint>",
     )
@@ -238,7 +238,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     scan = partial(
         _windows, lengths=lengths, vocabulary=vocabulary, item_keys=bitmap_of(item_keys, "key")
     )
-    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
+    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), F.lower(text_or_empty()).alias("text"))
     found = stored(texts.mapInArrow(scan, WINDOWS), "windows")
     pairs = (
         found.select("wid", F.explode("keys").alias("key"))
