@@ -7,10 +7,10 @@ says, so two walks fall into step again soon after an edit. Bit-sampling keys ov
 embedding, repeated over several walks, let windows meet the items near them in an equi-join;
 every candidate is then verified by its exact edit distance.
 
-Windows that cannot be near any item are left out before that, by a bound that loses nothing:
-with at most d edits, all but d of an item's words are in the window. The words of all items
-are a bitmap of fixed size, so what each task is sent does not grow with the benchmark; a
-crowded bitmap only lets more windows through.
+Windows that cannot be near any item are left out before that, by bounds that lose nothing:
+with at most d edits, all but d of an item's words and all but 2 d of its neighbouring pairs
+are in the window. The words and pairs of all items are a bitmap of fixed size, so what each
+task is sent does not grow with the benchmark; a crowded bitmap only lets more through.
 """
 
 from __future__ import annotations
@@ -93,19 +93,33 @@ def bitmap_of(hashes: DataFrame, column: str) -> Bitmap:
     return bits.view(np.uint8)
 
 
+def pairs_of(found: Words) -> np.ndarray:
+    """A hash per word and the word behind it; the last word of a row is paired with none."""
+    pairs = found.hashes.copy()
+    pairs[:-1] = mixed(found.hashes[:-1] * U64(3) + found.hashes[1:])
+    counts = found.counts()
+    pairs[found.first[1:][counts > 0] - 1] = 0
+    return pairs
+
+
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in parts(batch.column("text")):
             found = words(part)
             ids = batch.column("item_id").slice(part.first, part.last - part.first)
             lists = [found.hashes[a:b] for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+            pairs = pairs_of(found)
+            known = [
+                np.concatenate([x, pairs[a : b - 1]])
+                for x, a, b in zip(lists, found.first[:-1], found.first[1:], strict=True)
+            ]
             keys = [signed(keys_of(x[None, :])[0]) if len(x) else [] for x in lists]
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
                     pa.array([len(x) for x in lists], pa.int64()),
                     pa.array([x.tobytes() for x in lists], pa.binary()),
-                    pa.array([signed(x) for x in lists], pa.list_(pa.int64())),
+                    pa.array([signed(x) for x in known], pa.list_(pa.int64())),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
                 names=["item_id", "n", "item_words", "vocabulary", "keys"],
@@ -121,22 +135,27 @@ def item_table(benchmark: DataFrame) -> DataFrame:
     return stored(rows.filter("n > 0"), "items")
 
 
-def _near_vocabulary(found: Words, known: np.ndarray, n: int) -> np.ndarray:
-    """Starts of n-word windows of which at most the allowed edits are unknown words.
+def _running(flags: np.ndarray, more: int) -> np.ndarray:
+    """Flags before each place, with ``more`` places behind the last."""
+    upto = np.zeros(len(flags) + 1 + more, dtype=np.int32)
+    np.cumsum(flags, dtype=np.int32, out=upto[1 : len(flags) + 1])
+    upto[len(flags) + 1 :] = upto[len(flags)]
+    return upto
+
+
+def _near_vocabulary(first: np.ndarray, words_upto: np.ndarray, pairs_upto: np.ndarray, n: int) -> np.ndarray:
+    """Starts of n-word windows with few enough unknown words and pairs.
 
     A window may lack words at the end of its text, as many as there are edits. Of windows
     side by side, every one of a few is taken: what their neighbours hold, they do but for a
     word or two at the ends.
     """
-    allowed = edits_allowed(n)
-    total = len(found.hashes)
-    upto = np.concatenate([[0], np.cumsum(known, dtype=np.int32), np.zeros(n, dtype=np.int32)])
-    upto[total + 1 :] = upto[total]
-    starts = np.flatnonzero(upto[n : n + total] - upto[:total] >= n - allowed)
-    if not len(starts):
-        return starts
-    ends = np.minimum(starts + n, found.first[np.searchsorted(found.first, starts, side="right")])
-    starts = starts[upto[ends] - upto[starts] >= n - allowed]
+    allowed, total = edits_allowed(n), int(first[-1])
+    enough = words_upto[n : n + total] - words_upto[:total] >= n - allowed
+    enough &= pairs_upto[n - 1 : n - 1 + total] - pairs_upto[:total] >= n - 1 - 2 * allowed
+    starts = np.flatnonzero(enough)
+    ends = np.minimum(starts + n, first[np.searchsorted(first, starts, side="right")])
+    starts = starts[words_upto[ends] - words_upto[starts] >= n - allowed]
     if not len(starts):
         return starts
     step = max(1, allowed // 4)
@@ -153,9 +172,12 @@ def _windows(
     for batch in batches:
         for part in parts(batch.column("text")):
             found = words(part)
-            known = in_bitmap(vocabulary, found.hashes)
+            pairs = pairs_of(found)
+            longest = max(lengths, default=0)
+            words_upto = _running(in_bitmap(vocabulary, found.hashes), longest)
+            pairs_upto = _running(in_bitmap(vocabulary, pairs) & (pairs != 0), longest)
             for n in lengths:
-                every = _near_vocabulary(found, known, n)
+                every = _near_vocabulary(found.first, words_upto, pairs_upto, n)
                 for begin in range(0, len(every), 4096):
                     rows = _window_rows(batch, part.first, found, every[begin : begin + 4096], n, item_keys)
                     if rows is not None:
