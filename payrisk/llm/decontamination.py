@@ -9,13 +9,15 @@ every candidate is then verified by its exact edit distance.
 
 Windows that cannot be near any item are left out before that, by bounds that lose nothing:
 with at most d edits, all but d of an item's words and all but 2 d of its neighbouring pairs
-are in the window. The words and pairs of all items are a bitmap of fixed size, so what each
-task is sent does not grow with the benchmark; a crowded bitmap only lets more through.
+are in the window, the pairs with the item's length besides. The words and pairs of all items
+are a bitmap of fixed size, so what each task is sent does not grow with the benchmark; a
+crowded bitmap only lets more through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache, partial
 
 import numpy as np
@@ -32,6 +34,8 @@ SAMPLES = 8  # keys per walk
 POSITIONS = 2  # sampled positions per key
 BITMAP_BITS = 23  # 1 MB per bitmap
 
+CHUNK = 4096  # windows embedded at a time
+
 Bitmap = np.ndarray
 
 
@@ -102,6 +106,10 @@ def pairs_of(found: Words) -> np.ndarray:
     return pairs
 
 
+def with_length(pairs: np.ndarray, n: int) -> np.ndarray:
+    return mixed(pairs + U64(n * 0x9E3779B1))
+
+
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in parts(batch.column("text")):
@@ -110,7 +118,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lists = [found.hashes[a:b] for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
             pairs = pairs_of(found)
             known = [
-                np.concatenate([x, pairs[a : b - 1]])
+                np.concatenate([x, pairs[a : b - 1], with_length(pairs[a : b - 1], b - a)])
                 for x, a, b in zip(lists, found.first[:-1], found.first[1:], strict=True)
             ]
             keys = [signed(keys_of(x[None, :])[0]) if len(x) else [] for x in lists]
@@ -143,79 +151,123 @@ def _running(flags: np.ndarray, more: int) -> np.ndarray:
     return upto
 
 
-def _near_vocabulary(first: np.ndarray, words_upto: np.ndarray, pairs_upto: np.ndarray, n: int) -> np.ndarray:
-    """Starts of n-word windows with few enough unknown words and pairs.
-
-    A window may lack words at the end of its text, as many as there are edits. Of windows
-    side by side, every one of a few is taken: what their neighbours hold, they do but for a
-    word or two at the ends.
-    """
-    allowed, total = edits_allowed(n), int(first[-1])
-    enough = words_upto[n : n + total] - words_upto[:total] >= n - allowed
-    enough &= pairs_upto[n - 1 : n - 1 + total] - pairs_upto[:total] >= n - 1 - 2 * allowed
-    starts = np.flatnonzero(enough)
-    ends = np.minimum(starts + n, first[np.searchsorted(first, starts, side="right")])
-    starts = starts[words_upto[ends] - words_upto[starts] >= n - allowed]
-    if not len(starts):
-        return starts
-    step = max(1, allowed // 4)
-    run = np.maximum.accumulate(np.where(np.diff(starts, prepend=-2) > 1, np.arange(len(starts)), 0))
-    return starts[(np.arange(len(starts)) - run) % step == 0]
-
-
-WINDOWS = "wid bigint, doc_id bigint, text_hash bigint, start bigint, region binary, keys array<bigint>"
+@dataclass
+class Scan:
+    """The words and pairs of a part, counted as far as the items' bitmap knows them."""
+
+    found: Words
+    pairs: np.ndarray
+    words_upto: np.ndarray
+    pairs_upto: np.ndarray
+    bitmap: Bitmap
+
+    @classmethod
+    def of(cls, found: Words, bitmap: Bitmap, longest: int) -> Scan:
+        pairs = pairs_of(found)
+        known = in_bitmap(bitmap, pairs) & (pairs != 0)
+        return cls(
+            found,
+            np.concatenate([pairs, np.zeros(longest, dtype=U64)]),
+            _running(in_bitmap(bitmap, found.hashes), longest),
+            _running(known, longest),
+            bitmap,
+        )
+
+    def windows(self, n: int) -> np.ndarray:
+        """Starts of n-word windows with few enough unknown words and pairs.
+
+        A window may lack words at the end of its text, as many as there are edits. Of
+        windows side by side, every one of a few is taken: what their neighbours hold, they
+        do but for a word or two at the ends.
+        """
+        first, total, allowed = self.found.first, len(self.found.hashes), edits_allowed(n)
+        least_pairs = n - 1 - 2 * allowed
+        enough = self.words_upto[n : n + total] - self.words_upto[:total] >= n - allowed
+        enough &= self.pairs_upto[n - 1 : n - 1 + total] - self.pairs_upto[:total] >= least_pairs
+        starts = np.flatnonzero(enough)
+        ends = np.minimum(starts + n, first[np.searchsorted(first, starts, side="right")])
+        starts = starts[self.words_upto[ends] - self.words_upto[starts] >= n - allowed]
+        near = [
+            chunk[self._pairs_of_length(chunk, n) >= least_pairs]
+            for chunk in np.array_split(starts, len(starts) // 8192 + 1)
+        ]
+        starts = np.concatenate(near)
+        if not len(starts):
+            return starts
+        step = max(1, allowed // 4)
+        run = np.where(np.diff(starts, prepend=-2) > 1, np.arange(len(starts)), 0)
+        return starts[(np.arange(len(starts)) - np.maximum.accumulate(run)) % step == 0]
+
+    def _pairs_of_length(self, starts: np.ndarray, n: int) -> np.ndarray:
+        pairs = self.pairs[starts[:, None] + np.arange(n - 1)]
+        return (in_bitmap(self.bitmap, with_length(pairs, n)) & (pairs != 0)).sum(axis=1)
+
+
+WINDOWS = (
+    "wid bigint, doc_id bigint, text_hash bigint, n bigint, start bigint, region binary, "
+    "keys array<bigint>"
+)
 
 
 def _windows(
     batches: Iterator[pa.RecordBatch], lengths: list[int], vocabulary: Bitmap, item_keys: Bitmap
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        waiting: dict[int, list[tuple]] = {n: [] for n in lengths}
         for part in parts(batch.column("text")):
             found = words(part)
-            pairs = pairs_of(found)
-            longest = max(lengths, default=0)
-            words_upto = _running(in_bitmap(vocabulary, found.hashes), longest)
-            pairs_upto = _running(in_bitmap(vocabulary, pairs) & (pairs != 0), longest)
+            scan = Scan.of(found, vocabulary, max(lengths, default=0))
             for n in lengths:
-                every = _near_vocabulary(found.first, words_upto, pairs_upto, n)
-                for begin in range(0, len(every), 4096):
-                    rows = _window_rows(batch, part.first, found, every[begin : begin + 4096], n, item_keys)
-                    if rows is not None:
-                        yield rows
-
-
-def _window_rows(batch, first_row: int, found: Words, starts: np.ndarray, n: int, item_keys: Bitmap):
+                starts = scan.windows(n)
+                for begin in range(0, len(starts), CHUNK):
+                    waiting[n].append(_cut_out(found, starts[begin : begin + CHUNK], n, part.first))
+                    if sum(len(x[0]) for x in waiting[n]) >= CHUNK:
+                        yield from _keyed(batch, waiting[n], n, item_keys)
+                        waiting[n] = []
+        for n in lengths:
+            if waiting[n]:
+                yield from _keyed(batch, waiting[n], n, item_keys)
+
+
+def _cut_out(found: Words, starts: np.ndarray, n: int, first_row: int) -> tuple:
+    """(words of the windows, rows of the batch, places in the text, regions around)."""
     row = np.searchsorted(found.first, starts, side="right") - 1
     low, high = found.first[row], found.first[row + 1]
     inside = starts[:, None] + np.arange(n)
     filled = np.concatenate([found.hashes, np.zeros(n, dtype=U64)])
-    windows = np.where(inside < high[:, None], filled[inside], U64(0))
+    around = 2 * edits_allowed(n)
+    regions = [
+        found.hashes[max(a, s - around) : min(b, s + n + around)].tobytes()
+        for a, b, s in zip(low.tolist(), high.tolist(), starts.tolist(), strict=True)
+    ]
+    return np.where(inside < high[:, None], filled[inside], U64(0)), first_row + row, starts - low, regions
+
+
+def _keyed(batch, cut: list[tuple], n: int, item_keys: Bitmap) -> Iterator[pa.RecordBatch]:
+    """The windows with a key that some item may have, with those keys."""
+    windows, rows, places = (np.concatenate([x[i] for x in cut]) for i in range(3))
+    regions = [r for x in cut for r in x[3]]
     keys = keys_of(windows)
     hits = in_bitmap(item_keys, keys)
     chosen = np.flatnonzero(hits.any(axis=1))
     if not len(chosen):
-        return None
-    around = edits_allowed(n)
-    regions = [
-        found.hashes[max(low[i], starts[i] - around) : min(high[i], starts[i] + n + around)].tobytes()
-        for i in chosen
-    ]
-    docs = batch.take(pa.array(first_row + row[chosen]))
-    place = (starts - low)[chosen]
-    text_hash = docs.column("text_hash")
-    ids = np.asarray(docs.column("doc_id").fill_null(-1)).astype(np.int64).view(U64)
-    own = mixed(ids) ^ np.asarray(text_hash).view(U64)
-    wid = mixed(mixed(own) + (place.astype(U64) << U64(16)) + U64(n))
-    return pa.RecordBatch.from_arrays(
+        return
+    doc_id, text_hash = (batch.column(c).take(pa.array(rows[chosen])) for c in ("doc_id", "text_hash"))
+    place = places[chosen]
+    ids = np.asarray(doc_id.fill_null(-1)).astype(np.int64).view(U64)
+    own = mixed(mixed(ids) ^ np.asarray(text_hash).view(U64))
+    wid = mixed(own + (place.astype(U64) << U64(16)) + U64(n))
+    yield pa.RecordBatch.from_arrays(
         [
             pa.array(signed(wid)),
-            docs.column("doc_id"),
+            doc_id,
             text_hash,
+            pa.array(np.full(len(chosen), n, dtype=np.int64)),
             pa.array(place.astype(np.int64)),
-            pa.array(regions, pa.binary()),
+            pa.array([regions[i] for i in chosen], pa.binary()),
             pa.array([signed(keys[i][hits[i]]) for i in chosen], pa.list_(pa.int64())),
         ],
-        names=["wid", "doc_id", "text_hash", "start", "region", "keys"],
+        names=["wid", "doc_id", "text_hash", "n", "start", "region", "keys"],
     )
 
 
@@ -267,9 +319,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(item_keys, "key")
         .select("wid", "item_id")
         .distinct()
+        .join(found.select("wid", "doc_id", "text_hash", "n", "start"), "wid")
     )
-    candidates = pairs.join(found.drop("keys"), "wid").join(
-        items.select("item_id", "n", "item_words"), "item_id"
+    # A region reaches twice the edits beyond its window, so one window stands for all that
+    # begin within the edits behind it.
+    stretch = F.floor(F.col("start") / (1 + F.floor(F.col("n") * MAX_EDIT_PCT / 100)))
+    candidates = (
+        pairs.groupBy("doc_id", "text_hash", "item_id", stretch.alias("stretch"))
+        .agg(F.min(F.struct("start", "wid")).alias("one"))
+        .select("item_id", "one.wid")
+        .join(found.drop("keys", "n").dropDuplicates(["wid"]), "wid")
+        .join(items.select("item_id", "n", "item_words"), "item_id")
     )
     checked = candidates.select("doc_id", "text_hash", "item_id", "n", "start", "region", "item_words").mapInArrow(
         _verify, f"doc_id bigint, text_hash bigint, item_id {kind}, n bigint, start bigint, edits bigint"
