@@ -6,11 +6,12 @@ chooses. Nodes small enough are compared exhaustively. Two classes of similarity
 one position with probability 1 - s, so a tree loses a pair of similarity 0.8 with
 probability 0.0625 at most however deep it grows; ``TREES`` independent trees leave 6e-8.
 
-A node of many classes that lie close together (copies of one page in thousands) cannot be
-branched apart. It is compared with several pivots of its own first; components of the links
-found so far then leave only the few classes to compare that are not yet connected. Every
-pair of a node is either compared or known to be connected, so no component is cut.
-Links are confirmed on whole sets, counted exactly.
+A node that stays large after ``MAX_DEPTH`` levels (copies of one page in thousands) is not
+cut: its classes are first compared with pivots of their own, and components of the links
+found so far leave only the classes outside the node's largest component to be compared with
+the others. They are compared by their minwise tokens in blocks, within tasks, and only pairs
+that may be similar come out. Every pair of a node is thus compared or known to be connected,
+so no component is lost. Links are confirmed on whole sets, counted exactly.
 """
 
 from __future__ import annotations
@@ -30,14 +31,13 @@ from payrisk.llm.tokens import U64, distinct_by_row, mixed, parts, random64, shi
 TOKENS = 48  # minwise tokens kept per class
 TREES = 6
 BRANCHES = 2
-SMALL_NODE = 16
-PIVOTS = 4
-MAX_DEPTH = 10
-CLOSE_PART = 0.5  # a node is not branched further if so many lie close to its pivot
+SMALL_NODE = 32
+PIVOTS = 2
+MAX_DEPTH = 3
+BLOCK = 256  # classes that are compared with the rest of their node at a time
 # Pairs that share fewer minwise tokens are not looked at: five deviations below the mean
 # at similarity 0.8, so one true pair in ten million.
 LEAST_SHARED = 24
-CLOSE_SHARED = 36
 SIMILARITY_PCT = 80
 
 SKETCH = "doc_id bigint, text_hash bigint, n_shingles bigint, d1 bigint, d2 bigint, tokens array<int>"
@@ -134,35 +134,25 @@ def _branched(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def nodes(classes: DataFrame) -> DataFrame:
-    """(path, cid, pivots): the classes of every final node of all trees, two or more each."""
-    order = [F.min(F.struct(F.xxhash64("cid", "path", F.lit(s)), "cid")).alias(f"p{s}") for s in range(PIVOTS)]
+    """(path, cid): the classes of every final node of all trees, two or more in each."""
     rows, final = _root_rows(classes), []
     for depth in range(1, MAX_DEPTH + 1):
-        rows = stored(rows, "paths")
-        stats = rows.groupBy("path").agg(F.count("*").alias("n"), *order).filter("n > 1")
-        stats = stats.select("path", "n", F.array(*[f"p{s}.cid" for s in range(PIVOTS)]).alias("pivots"))
-        held = stored(rows.join(stats, "path"), "nodes")
+        counts = rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+        held = stored(rows.join(counts, "path"), "nodes")
         if depth == MAX_DEPTH:
             final.append(held)
             break
-        large = held.filter(F.col("n") > SMALL_NODE)
-        if large.isEmpty():
-            final.append(held)
-            break
-        own = classes.select("cid", "tokens")
-        pivot = classes.select(F.col("cid").alias("pid"), F.col("tokens").alias("ptokens"))
-        close = (
-            large.join(own, "cid")
-            .join(pivot, F.col("pivots")[0] == F.col("pid"))
-            .groupBy("path")
-            .agg(F.avg((_shared("tokens", "ptokens") >= CLOSE_SHARED).cast("int")).alias("part"))
-        )
-        open_paths = stored(close.filter(F.col("part") < CLOSE_PART).select("path"), "open")
-        final.append(held.join(open_paths, "path", "left_anti"))
-        rows = _branched(large.join(open_paths, "path", "left_semi"), classes)
-    return stored(
-        reduce(DataFrame.unionByName, [df.select("path", "cid", "n", "pivots") for df in final]), "nodes"
-    )
+        final.append(held.filter(F.col("n") <= SMALL_NODE))
+        rows = _branched(held.filter(F.col("n") > SMALL_NODE), classes)
+    return reduce(DataFrame.unionByName, [df.select("path", "cid") for df in final])
+
+
+def spokes(members: DataFrame) -> DataFrame:
+    """(a, b): every class of a node with the node's pivots."""
+    order = [F.min(F.struct(F.xxhash64("cid", "path", F.lit(s)), "cid")).alias(f"p{s}") for s in range(PIVOTS)]
+    pivots = members.groupBy("path").agg(*order)
+    pivots = pivots.select("path", F.array(*[f"p{s}.cid" for s in range(PIVOTS)]).alias("pivots"))
+    return members.join(pivots, "path").select(F.col("cid").alias("a"), F.explode("pivots").alias("b"))
 
 
 class Comparer:
@@ -208,28 +198,78 @@ class Comparer:
         return stored(confirmed, "confirmed")
 
 
-def _not_connected(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one node whose classes have different labels.
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of rows sorted by node, block and role: first the block, then the node.
 
-    Only classes outside the node's largest component are paired with the others, in a small
-    node and a large one alike.
+    Holds one block at a time; the classes of the node stream past it.
     """
-    own = (
-        members.join(labels, members["cid"] == labels["node"], "left")
-        .select("path", "cid", F.coalesce("label", "cid").alias("label"))
+    key, block = None, None
+    for batch in batches:
+        path, part, role, cid, label = (
+            np.asarray(batch.column(c)) for c in ("path", "part", "role", "cid", "label")
+        )
+        lists = batch.column("tokens")
+        tokens = np.asarray(lists.flatten()).reshape(len(lists), TOKENS)
+        change = (path[1:] != path[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])
+        bounds = [0, *(np.flatnonzero(change) + 1).tolist(), len(path)]
+        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+            own = (path[x], part[x])
+            if role[x] == 0:
+                mine = (cid[x:y], label[x:y], tokens[x:y])
+                if key == own and block is not None:
+                    mine = tuple(np.concatenate(pair) for pair in zip(block, mine, strict=True))
+                key, block = own, mine
+            elif key == own:
+                for z in range(x, y, 512):
+                    found = _likely(block, (cid[z : min(z + 512, y)], label[z : min(z + 512, y)], tokens[z : min(z + 512, y)]))
+                    if found is not None:
+                        yield found
+
+
+def _likely(block: tuple, others: tuple) -> pa.RecordBatch | None:
+    shared = np.zeros((len(block[0]), len(others[0])), dtype=np.int16)
+    for t in range(TOKENS):
+        shared += block[2][:, t, None] == others[2][None, :, t]
+    near = (shared >= LEAST_SHARED) & (block[1][:, None] != others[1][None, :])
+    i, j = np.nonzero(near)
+    if not len(i):
+        return None
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[0][i]), pa.array(others[0][j])], names=["a", "b"]
+    )
+
+
+def _not_connected(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Likely pairs of one node whose classes have different labels.
+
+    Classes outside their node's largest component, in blocks, meet all others of the node. A
+    node of many of them is dealt out by block, so a large one is spread over tasks.
+    """
+    own = stored(
+        members.join(labels, members["cid"] == labels["node"], "left").select(
+            "path", "cid", F.coalesce("label", "cid").alias("label")
+        ),
+        "labelled",
     )
-    own = stored(own, "labelled")
     sizes = own.groupBy("path", "label").agg(F.count("*").alias("n"))
-    mixed_nodes = sizes.groupBy("path").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("parts")
-    ).filter("parts > 1").select("path", F.col("top.label").alias("top"))
-    mixed_rows = stored(own.join(mixed_nodes, "path"), "mixed")
-    others = mixed_rows.filter(F.col("label") != F.col("top")).select(
-        "path", F.col("cid").alias("a"), F.col("label").alias("la")
+    several = sizes.groupBy("path").agg(
+        F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count("*").alias("labels")
+    )
+    several = several.filter("labels > 1").select(
+        "path", F.col("top.label").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("blocks")
+    )
+    rows = own.join(several, "path").join(classes.select("cid", "tokens"), "cid")
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    roles = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(k.alias("part"), F.lit(1).alias("role")),
     )
-    return mixed_rows.join(others, "path").filter(
-        (F.col("la") != F.col("label")) & ((F.col("label") == F.col("top")) | (F.col("a") < F.col("cid")))
-    ).select("a", F.col("cid").alias("b"))
+    first = F.when(
+        F.col("label") != F.col("top"), F.array(F.struct(block.alias("part"), F.lit(0).alias("role")))
+    ).otherwise(F.array().cast("array<struct<part:int,role:int>>"))
+    dealt = rows.select("path", "cid", "label", "tokens", F.inline(F.concat(first, roles)))
+    parts = dealt.repartition("path", "part").sortWithinPartitions("path", "part", "role")
+    return parts.mapInArrow(_compare_blocks, "a bigint, b bigint").distinct()
 
 
 def near_classes(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -249,10 +289,9 @@ def near_classes(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     classes = stored(classes, "classes")
     members = nodes(classes)
     compare = Comparer(docs, classes, k)
-    spokes = members.select(F.col("cid").alias("a"), F.explode("pivots").alias("b"))
-    links = compare.links(spokes)
+    links = compare.links(spokes(members))
     labels = components(links)
-    rest = compare.links(_not_connected(members, labels))
+    rest = compare.links(_not_connected(members, labels, classes))
     if not rest.isEmpty():
         links = links.unionByName(rest)
         labels = components(links)
