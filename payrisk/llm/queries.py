@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payrisk.llm import decontamination, langid, mixing, near_dedup, quality, sharding, url_filter
+from payrisk.llm import decontamination, langid, mixing, near_dedup, quality, secret_scan, sharding, url_filter
 from payrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     ),
     "op6_near_dedup": over("documents", near_dedup.near_table),
+    "op7_secret_scan": over("documents", secret_scan.scan),
     "op8_mixing": over("documents", mixing.mix_table),
     "op10_language_id": over("documents", langid.lang_table),
     "op9_quality": over("documents", quality.quality_table),
