@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payrisk.llm import decontamination, langid, mixing, near_dedup, quality, secret_scan, sharding, toxicity, url_filter
+from payrisk.llm import decontamination, langid, mixing, near_dedup, ppm, quality, secret_scan, sharding, toxicity, url_filter
 from payrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": lambda spark, sf_dir: toxicity.toxicity_table(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ),
+    "op2_lm_score": over("documents", ppm.score_texts),
     "op3_url_filter": over("pages", url_filter.url_table),
     "op4_sharding": over("documents", sharding.shard_table),
     "op5_decontamination": lambda spark, sf_dir: decontamination.leak_table(
