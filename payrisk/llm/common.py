@@ -16,6 +16,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 # The characters between words, and their regular expression.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+ROWS_PER_TASK = 20_000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -42,6 +43,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrowed(df: DataFrame, rows: int) -> DataFrame:
+    """As many tasks as so many rows need: small tables between rounds stay in few files."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

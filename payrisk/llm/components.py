@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import stored
+from payrisk.llm.common import narrowed, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,22 +15,24 @@ def components(links: DataFrame) -> DataFrame:
     which halves the remaining distances. Labels are written between rounds.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stored(both.distinct(), "links")
-    labels = stored(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")),
-        "labels",
-    )
+    both = stored(narrowed(both.distinct(), 2 * links.count()), "links")
+    rows = both.count()
+
+    def written(df: DataFrame) -> DataFrame:
+        return stored(narrowed(df, rows), "labels")
+
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         nearer = labels.join(seen, F.col("node") == F.col("a")).select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        nearer = stored(nearer, "labels")
+        nearer = written(nearer)
+        if nearer.filter(F.col("label") != F.col("old")).isEmpty():
+            return nearer.select("node", "label")
         jump = nearer.select(F.col("node").alias("via"), F.col("label").alias("further"))
-        moved = nearer.join(jump, F.col("label") == F.col("via")).select(
-            "node", "old", F.least("label", "further").alias("label")
+        labels = written(
+            nearer.join(jump, F.col("label") == F.col("via")).select(
+                "node", F.least("label", "further").alias("label")
+            )
         )
-        moved = stored(moved, "labels")
-        labels = moved.select("node", "label")
-        if moved.filter(F.col("label") != F.col("old")).isEmpty():
-            return labels

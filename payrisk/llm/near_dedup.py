@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import stored, text_or_empty
+from payrisk.llm.common import narrowed, stored, text_or_empty
 from payrisk.llm.components import components
 from payrisk.llm.tokens import U64, distinct_by_row, mixed, parts, random64, shingles, signed, words
 
@@ -174,11 +174,12 @@ class Comparer:
             .select("a", "b")
         )
         likely = stored(likely, "likely")
+        count = likely.count()
+        if not count:
+            return likely
         wanted = likely.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        wanted = stored(
-            wanted.join(self.classes.select("cid", "one"), "cid").select("cid", "one.doc_id", "one.text_hash"),
-            "wanted",
-        )
+        wanted = wanted.join(self.classes.select("cid", "one"), "cid")
+        wanted = stored(narrowed(wanted.select("cid", "one.doc_id", "one.text_hash"), count), "wanted")
         texts = self.docs.select(
             F.col("doc_id").alias("own_id"), text_or_empty().alias("text"),
             F.xxhash64(text_or_empty()).alias("own_hash"),
@@ -190,8 +191,9 @@ class Comparer:
             .mapInArrow(partial(_sets, k=self.k), "cid bigint, members binary")
             .dropDuplicates(["cid"])
         )
-        sets = stored(sets, "sets")
+        sets = stored(narrowed(sets, 2 * count), "sets")
         held = likely.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        held = narrowed(held, count)
         confirmed = held.select("a", "b", "set_a", "set_b").mapInArrow(
             partial(_confirm, pct=SIMILARITY_PCT), "a bigint, b bigint"
         )
