@@ -104,8 +104,8 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 COUNTS = "bucket bigint, block bigint, keys binary, counts binary"
 
 
-def _count_block(key: tuple, rows: pa.Table, buckets: int) -> pa.Table:
-    """The contexts and words of one block by bucket; those of held-out rows count 0."""
+def block_keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted contexts and words of a block with their counts; held-out rows count 0."""
     keys, counts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     for batch in rows.to_batches():
         held = np.asarray(batch.column("held_out"))
@@ -119,18 +119,27 @@ def _count_block(key: tuple, rows: pa.Table, buckets: int) -> pa.Table:
                     k, n = _counted(chosen, weight)
                     keys.append(k)
                     counts.append(n)
-    keys, counts = summed(keys, counts)
+    return summed(keys, counts)
+
+
+def dealt(keys: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
+    """Positions of a block's keys by bucket, in the order of the keys."""
     bucket = bucket_of(keys, buckets)
     order = np.argsort(bucket, kind="stable")
     bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    full = [b for b in range(buckets) if bounds[b + 1] > bounds[b]]
-    chosen = [order[bounds[b] : bounds[b + 1]] for b in full]
+    return {b: order[bounds[b] : bounds[b + 1]] for b in range(buckets) if bounds[b + 1] > bounds[b]}
+
+
+def _count_block(key: tuple, rows: pa.Table, buckets: int) -> pa.Table:
+    """The contexts and words of one block by bucket."""
+    keys, counts = block_keys(rows)
+    places = dealt(keys, buckets)
     return pa.table(
         {
-            "bucket": pa.array(full, pa.int64()),
-            "block": pa.array([key[0].as_py()] * len(full), pa.int64()),
-            "keys": pa.array([packed_keys(keys[i]) for i in chosen], pa.binary()),
-            "counts": pa.array([packed(counts[i]) for i in chosen], pa.binary()),
+            "bucket": pa.array(list(places), pa.int64()),
+            "block": pa.array([key[0].as_py()] * len(places), pa.int64()),
+            "keys": pa.array([packed_keys(keys[i]) for i in places.values()], pa.binary()),
+            "counts": pa.array([packed(counts[i]) for i in places.values()], pa.binary()),
         }
     )
 
@@ -219,42 +228,41 @@ def context_logs(keys: np.ndarray, counts: np.ndarray, near: np.ndarray) -> np.n
     return logs
 
 
-VALUES = "block bigint, keys binary, vals binary, tokens bigint, kinds bigint"
+VALUES = "block bigint, bucket bigint, logs binary, seen binary, tokens bigint, kinds bigint"
 
 
 def _answer_bucket(key: tuple, rows: pa.Table, near: np.ndarray) -> pa.Table:
-    """Adds up a bucket's counts and gives every block the values of its keys: a context's
-    log-probability, a word's log10(count + 0.5)."""
+    """Adds up a bucket's counts and answers every block, in the order of its keys: the
+    log-probabilities of its contexts, then the counts of its words."""
     blocks = rows.column("block").to_pylist()
     asked = [unpacked_keys(x) for x in rows.column("keys").to_pylist()]
     keys, counts = summed(asked, [unpacked(x, np.int64) for x in rows.column("counts").to_pylist()])
-    is_word = keys & WORD_KEY != 0
-    values = np.empty(len(keys))
-    values[is_word] = np.log10(counts[is_word] + 0.5)
-    values[~is_word] = context_logs(keys[~is_word], counts[~is_word], near)
-    seen = is_word & (counts > 0)
+    contexts = np.searchsorted(keys, WORD_KEY)
+    logs = context_logs(keys[:contexts], counts[:contexts], near).astype(np.float32)
+    seen = counts[contexts:]
     numbers = np.zeros((2, len(blocks)), dtype=np.int64)
-    numbers[:, 0] = counts[seen].sum(), seen.sum()  # once per bucket
+    numbers[:, 0] = seen.sum(), (seen > 0).sum()  # once per bucket
+    places = [np.searchsorted(keys, x) for x in asked]
     return pa.table(
         {
             "block": pa.array(blocks, pa.int64()),
-            "keys": rows.column("keys"),
-            "vals": pa.array([packed(values[np.searchsorted(keys, x)]) for x in asked], pa.binary()),
+            "bucket": rows.column("bucket"),
+            "logs": pa.array([packed(logs[at[at < contexts]]) for at in places], pa.binary()),
+            "seen": pa.array([packed(seen[at[at >= contexts] - contexts]) for at in places], pa.binary()),
             "tokens": pa.array(numbers[0]),
             "kinds": pa.array(numbers[1]),
         }
     )
 
 
-class Table:
-    """Values by key through a hash table of positions; keys that share a place are searched."""
+class Places:
+    """Positions of sorted keys through a hash table; keys that share a place are searched."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.bits = max(10, int(len(keys)).bit_length() + 2)
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.bits = max(10, len(keys).bit_length() + 2)
         self.at = np.zeros(1 << self.bits, dtype=np.int32)
-        self.at[self._place(self.keys)] = np.arange(len(keys))
+        self.at[self._place(keys)] = np.arange(len(keys))
 
     def _place(self, keys: np.ndarray) -> np.ndarray:
         return (keys.view(U64) * U64(0x9E3779B97F4A7C15) >> U64(64 - self.bits)).astype(np.int64)
@@ -263,30 +271,31 @@ class Table:
         at = self.at[self._place(keys)]
         other = np.flatnonzero(self.keys[at] != keys)
         at[other] = np.searchsorted(self.keys, keys[other])
-        return self.values[at]
+        return at
 
 
 SCORES = "doc_id {kind}, held_out boolean, n_words bigint, known_words bigint, word_logs double, score double"
 
 
-def _score_block(rows: pa.Table, answers: pa.Table) -> pa.Table:
-    if not rows.num_rows:
-        return rows.select(["doc_id", "held_out"])
-    keys = np.concatenate([unpacked_keys(x) for x in answers.column("keys").to_pylist()])
-    values = np.concatenate([unpacked(x, np.float64) for x in answers.column("vals").to_pylist()])
-    table = Table(keys, values)
+def _score_block(rows: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
+    """The block's keys again, the answers put in their places, and the sums per document."""
+    keys, _ = block_keys(rows)
+    logs, seen = np.zeros(len(keys)), np.zeros(len(keys), dtype=np.int64)
+    places = dealt(keys, buckets)
+    for bucket, own_logs, own_seen in zip(*(answers.column(c).to_pylist() for c in ("bucket", "logs", "seen")), strict=True):
+        at = places[bucket]
+        split = np.searchsorted(keys[at], WORD_KEY)
+        logs[at[:split]] = unpacked(own_logs, np.float32)
+        seen[at[split:]] = unpacked(own_seen, np.int64)
+    of_word = keys >= WORD_KEY
+    logs[of_word] = np.log10(seen[of_word] + 0.5)
+    place = Places(keys)
     out = []
     for batch in rows.to_batches():
         for part in parts(batch.column("text")):
             contexts, first = context_keys(part)
             found = words(part)
-            logs = table[word_keys(found)]
-            known = logs > math.log10(0.75)
-
-            def per_row(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-                upto = np.concatenate([[0], np.cumsum(x)])
-                return upto[bounds[1:]] - upto[bounds[:-1]]
-
+            at = place[word_keys(found)]
             own = batch.slice(part.first, part.last - part.first)
             out.append(
                 pa.RecordBatch.from_arrays(
@@ -294,9 +303,9 @@ def _score_block(rows: pa.Table, answers: pa.Table) -> pa.Table:
                         own.column("doc_id"),
                         own.column("held_out"),
                         pa.array(found.counts()),
-                        pa.array(per_row(known.astype(np.int64), found.first)),
-                        pa.array(per_row(logs, found.first)),
-                        pa.array(np.add.reduceat(table[contexts], first[:-1])),
+                        pa.array(_per_row((seen[at] > 0).astype(np.int64), found.first)),
+                        pa.array(_per_row(logs[at], found.first)),
+                        pa.array(np.add.reduceat(logs[place[contexts]], first[:-1])),
                     ],
                     names=["doc_id", "held_out", "n_words", "known_words", "word_logs", "score"],
                 )
@@ -304,6 +313,11 @@ def _score_block(rows: pa.Table, answers: pa.Table) -> pa.Table:
     return pa.Table.from_batches(out)
 
 
+def _per_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return upto[first[1:]] - upto[first[:-1]]
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: token counts, the word model's and the byte model's log10
     probability of the whole text.
@@ -339,8 +353,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     all_kinds = (kinds or 0) + (trained > 0)
     scored = (
         rows.groupBy("block")
-        .cogroup(answers.select("block", "keys", "vals").groupBy("block"))
-        .applyInArrow(_score_block, SCORES.format(kind=kind))
+        .cogroup(answers.select("block", "bucket", "logs", "seen").groupBy("block"))
+        .applyInArrow(lambda r, a: _score_block(r, a, buckets), SCORES.format(kind=kind))
     )
     base = math.log10(all_tokens + 0.5 * (all_kinds + 1))
     return scored.select(

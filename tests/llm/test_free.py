@@ -158,10 +158,11 @@ def test_secret_spans_equal_regular_expressions(spark, rows):
 def test_language_of_held_out_texts(spark, none):
     r = random.Random(6)
     letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}
+    vocabulary = {k: ["".join(r.choice(v) for _ in range(6)) for _ in range(30)] for k, v in letters.items()}
     rows = []
     for i in range(240):
         lang = r.choice(list(letters))
-        text = " ".join("".join(r.choice(letters[lang]) for _ in range(5)) for _ in range(r.randrange(3, 60)))
+        text = " ".join(r.choice(vocabulary[lang]) for _ in range(r.randrange(3, 60)))
         rows.append((i, text, lang if i % 9 else None, "s", 0))
     truth = {i: next(k for k, v in letters.items() if t[0] in v) for i, t, *_ in rows}
     rows += [(900, None, "aa", "s", 0), (901, "123 !?", "aa", "s", 0), (902, "", None, None, 0)]
