@@ -34,6 +34,7 @@ BRANCHES = 2
 SMALL_NODE = 32
 PIVOTS = 2
 MAX_DEPTH = 3
+MOST_PATHS = TREES * sum(BRANCHES**d for d in range(1, MAX_DEPTH + 1))  # nodes of one class
 BLOCK = 256  # classes that are compared with the rest of their node at a time
 # Pairs that share fewer minwise tokens are not looked at: five deviations below the mean
 # at similarity 0.8, so one true pair in ten million.
@@ -210,30 +211,59 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         path, part, role, cid, label = (
             np.asarray(batch.column(c)) for c in ("path", "part", "role", "cid", "label")
         )
-        lists = batch.column("tokens")
-        tokens = np.asarray(lists.flatten()).reshape(len(lists), TOKENS)
+        tokens = np.asarray(batch.column("tokens").flatten()).reshape(len(path), TOKENS)
+        paths = _padded(batch.column("paths"))
         change = (path[1:] != path[:-1]) | (part[1:] != part[:-1]) | (role[1:] != role[:-1])
         bounds = [0, *(np.flatnonzero(change) + 1).tolist(), len(path)]
         for x, y in zip(bounds[:-1], bounds[1:], strict=True):
             own = (path[x], part[x])
             if role[x] == 0:
-                mine = (cid[x:y], label[x:y], tokens[x:y])
+                mine = (cid[x:y], label[x:y], tokens[x:y], paths[x:y])
                 if key == own and block is not None:
                     mine = tuple(np.concatenate(pair) for pair in zip(block, mine, strict=True))
                 key, block = own, mine
             elif key == own:
                 for z in range(x, y, 512):
-                    found = _likely(block, (cid[z : min(z + 512, y)], label[z : min(z + 512, y)], tokens[z : min(z + 512, y)]))
+                    run = slice(z, min(z + 512, y))
+                    found = _likely(block, (cid[run], label[run], tokens[run], paths[run]), path[x])
                     if found is not None:
                         yield found
 
 
-def _likely(block: tuple, others: tuple) -> pa.RecordBatch | None:
+def _padded(lists: pa.ListArray) -> np.ndarray:
+    """Sorted lists of at most ``MOST_PATHS`` numbers as a matrix; 0 fills it up."""
+    sizes = np.diff(np.asarray(lists.offsets))
+    out = np.zeros((len(lists), MOST_PATHS), dtype=np.int64)
+    row = np.repeat(np.arange(len(lists)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[row, place] = np.asarray(lists.flatten())
+    return out
+
+
+def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number that rows of two matrices share, by row; 0 if they share none."""
+    out, open_rows = np.zeros(len(a), dtype=np.int64), np.arange(len(a))
+    for k in range(MOST_PATHS):
+        own = a[open_rows, k]
+        hit = (b[open_rows] == own[:, None]).any(axis=1) & (own != 0)
+        out[open_rows[hit]] = own[hit]
+        open_rows = open_rows[~hit]
+        if not len(open_rows):
+            break
+    return out
+
+
+def _likely(block: tuple, others: tuple, path: int) -> pa.RecordBatch | None:
+    """Pairs that may be similar, each in the first of the nodes that it shares only."""
     shared = np.zeros((len(block[0]), len(others[0])), dtype=np.int16)
     for t in range(TOKENS):
         shared += block[2][:, t, None] == others[2][None, :, t]
     near = (shared >= LEAST_SHARED) & (block[1][:, None] != others[1][None, :])
     i, j = np.nonzero(near)
+    first = np.concatenate(
+        [_first_common(block[3][i[k : k + 4096]], others[3][j[k : k + 4096]]) for k in range(0, len(i), 4096)] or [i]
+    )
+    i, j = i[first == path], j[first == path]
     if not len(i):
         return None
     return pa.RecordBatch.from_arrays(
@@ -260,7 +290,9 @@ def _not_connected(members: DataFrame, labels: DataFrame, classes: DataFrame) ->
     several = several.filter("labels > 1").select(
         "path", F.col("top.label").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("blocks")
     )
-    rows = own.join(several, "path").join(classes.select("cid", "tokens"), "cid")
+    rows = stored(own.join(several, "path"), "mixed")
+    paths = rows.groupBy("cid").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+    rows = rows.join(classes.select("cid", "tokens"), "cid").join(paths, "cid")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     roles = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -269,9 +301,28 @@ def _not_connected(members: DataFrame, labels: DataFrame, classes: DataFrame) ->
     first = F.when(
         F.col("label") != F.col("top"), F.array(F.struct(block.alias("part"), F.lit(0).alias("role")))
     ).otherwise(F.array().cast("array<struct<part:int,role:int>>"))
-    dealt = rows.select("path", "cid", "label", "tokens", F.inline(F.concat(first, roles)))
+    dealt = rows.select("path", "cid", "label", "tokens", "paths", F.inline(F.concat(first, roles)))
     parts = dealt.repartition("path", "part").sortWithinPartitions("path", "part", "role")
-    return parts.mapInArrow(_compare_blocks, "a bigint, b bigint").distinct()
+    return parts.mapInArrow(_compare_blocks, "a bigint, b bigint")
+
+
+def joined_labels(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels after further links between nodes: components of the labels themselves."""
+    name_a, name_b = labels.toDF("a", "la"), labels.toDF("b", "lb")
+    between = more.join(name_a, "a", "left").join(name_b, "b", "left").select(
+        "a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")
+    )
+    between = stored(between, "between")
+    merged = components(between.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    merged = merged.toDF("old", "new")
+    kept = labels.unionByName(
+        between.select(F.col("la").alias("node"), F.col("la").alias("label"))
+        .unionByName(between.select(F.col("lb").alias("node"), F.col("lb").alias("label")))
+        .distinct()
+        .join(labels, "node", "left_anti")
+    )
+    renamed = kept.join(merged, F.col("label") == F.col("old"), "left")
+    return stored(renamed.select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
 def near_classes(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -295,8 +346,7 @@ def near_classes(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     labels = components(links)
     rest = compare.links(_not_connected(members, labels, classes))
     if not rest.isEmpty():
-        links = links.unionByName(rest)
-        labels = components(links)
+        labels = joined_labels(labels, rest)
     named = classes.join(labels, classes["cid"] == labels["node"], "left").withColumn(
         "label", F.coalesce("label", "cid")
     )
