@@ -7,7 +7,7 @@ import argparse
 from payrisk import operators as ops
 from payrisk import plans, sources
 from payrisk.functions import with_risk
-from payrisk.schema import FACT_TABLE_LIMIT, LABEL_COUNT_SCHEMA, REPLAY_LIMIT
+from payrisk.schema import LABEL_COUNT_SCHEMA
 from payrisk.session import create_session
 from payrisk.streaming import kafka_options, read_tx_stream
 
@@ -25,16 +25,15 @@ def _parser() -> argparse.ArgumentParser:
     command("train", "features, label counts, three models, test-set scores", "data", "out")
     command("export", "score a whole table to CSV parts", "data", "model", "out")
     marts = command("marts", "BI tables from exported scores", "scored", "labels", "out")
-    marts.add_argument("--limit", type=int, default=FACT_TABLE_LIMIT)
-    marts.add_argument("--exact", action="store_true", help="exactly --limit fact rows")
+    marts.add_argument("--limit", type=int, help="sample the fact table to so many rows")
     command("distributions", "histograms of exported scores", "scored", "out")
-    score = command("score", "score a table and show the riskiest rows", "data", "model")
-    score.add_argument("--rows", type=int, default=20)
+    score = command("score", "score a table to CSV parts, show the riskiest", "data", "model", "out")
+    score.add_argument("--rows", type=int, default=20, help="rows to show")
     stream = command("stream", "score a Kafka topic until stopped", "model", "out")
     stream.add_argument("--bootstrap")
     stream.add_argument("--topic")
     publish = command("publish", "send transactions to a Kafka topic", "data", "bootstrap", "topic")
-    publish.add_argument("--limit", type=int, default=REPLAY_LIMIT)
+    publish.add_argument("--limit", type=int, help="only the first rows of the scan")
     return parser
 
 
@@ -48,23 +47,27 @@ def main(argv: list[str] | None = None) -> None:
         model = ops.load_model(spark, args.model)
         plans.run_export(sources.read_transactions(spark, args.data), model, args.out)
     elif args.command == "marts":
-        labels = sources.read_csv_parts(spark, args.labels, LABEL_COUNT_SCHEMA)
-        scored = sources.read_scored(spark, args.scored)
-        tables = plans.build_marts(scored, labels, args.limit, exact=args.exact)
+        labels = sources.read_csv_parts(spark, args.labels, LABEL_COUNT_SCHEMA, False)
+        scored = sources.read_scored(spark, args.scored, may_be_missing=False)
+        tables = plans.build_marts(scored, labels, args.limit)
         plans.write_marts(tables, args.out)
     elif args.command == "distributions":
-        scored = with_risk(sources.read_scored(spark, args.scored))
+        scored = with_risk(sources.read_scored(spark, args.scored, may_be_missing=False))
         sources.write_mart(ops.distributions(scored), args.out)
     elif args.command == "score":
         model = ops.load_model(spark, args.model)
         rows = sources.read_transactions(spark, args.data)
-        ops.top_risk(ops.score_transactions(rows, model), args.rows).show(args.rows)
+        scored = ops.score_transactions(rows, model)
+        sources.write_csv(scored, args.out)
+        written = sources.read_csv_parts(spark, args.out, scored.schema, False)
+        ops.top_risk(written, args.rows).show(args.rows)
     elif args.command == "stream":
         events = read_tx_stream(spark, options=kafka_options(args.bootstrap, args.topic))
         model = ops.load_model(spark, args.model)
         plans.run_stream(spark, model, args.out, events).awaitTermination()
     else:
-        rows = ops.head_transactions(sources.read_transactions(spark, args.data), args.limit)
+        rows = sources.read_transactions(spark, args.data)
+        rows = rows if args.limit is None else ops.head_transactions(rows, args.limit)
         sources.publish_events(rows, args.bootstrap, args.topic)
 
 

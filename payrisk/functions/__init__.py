@@ -7,7 +7,7 @@ from payrisk.functions.features import (
     dest_balance_error,
     high_value,
 )
-from payrisk.functions.numeric import cents, rate_pct, row_hash32, stable_hash32
+from payrisk.functions.numeric import amount_parts, rate_pct, row_hash32, stable_hash32
 from payrisk.functions.risk import (
     add_amount_bucket,
     add_risk_level,
@@ -29,7 +29,7 @@ __all__ = [
     "add_risk_score",
     "amount_bucket",
     "balance_error",
-    "cents",
+    "amount_parts",
     "dest_balance_error",
     "high_value",
     "project_export",

@@ -11,25 +11,36 @@ HASH_SPACE = 1 << 32
 LOW_BITS = 20
 
 
-def cents(amount: Column) -> Column:
-    """Amount in whole cents as BIGINT; NULL and NaN amounts have none."""
-    return F.when(~F.isnan(amount), F.rint(amount * F.lit(100.0)).cast("bigint"))
+HUGE = 1e15
+AMOUNT_PARTS = ("units_high", "units_low", "micros", "huge")
 
 
-def cents_parts(amount: Column) -> tuple[Column, Column]:
-    """High and low part of the cents, to be summed apart.
+def priced(amount: Column) -> Column:
+    """True for an amount: neither NULL nor NaN."""
+    return amount.isNotNull() & ~F.isnan(amount)
 
-    The sums are exact, whatever the row order. Both stay plain BIGINTs, several times
-    faster than a decimal sum, and neither part can overflow where one sum of cents would.
-    """
-    value = cents(amount)
-    return F.shiftright(value, LOW_BITS), value.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
 
+def amount_parts(amount: Column) -> tuple[Column, Column, Column, Column]:
+    """Whole units (high and low bits), millionths, and what is too large to be counted so.
 
-def amount_from_parts(high: Column, low: Column) -> Column:
-    """Total amount as DOUBLE from the two summed parts."""
-    whole = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS) + low.cast("decimal(20,0)")
-    return (whole * F.lit(Decimal("0.01"))).cast("double")
+    The first three are BIGINTs, summed apart: exact whatever the row order, several times
+    faster than a decimal sum, and out of reach of an overflow. Infinite amounts and those of
+    ``HUGE`` and more, where a double has no cents left, are summed as doubles. NULL and NaN
+    have no parts.
+    """
+    usual = F.when(F.abs(amount) < F.lit(HUGE), amount)
+    units = F.floor(usual).cast("bigint")
+    micros = F.rint((usual - units.cast("double")) * F.lit(1e6)).cast("bigint")
+    high, low = F.shiftright(units, LOW_BITS), units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    return high, low, micros, F.when(priced(amount) & (F.abs(amount) >= F.lit(HUGE)), amount)
+
+
+def amount_from_parts(high: Column, low: Column, micros: Column, huge: Column) -> Column:
+    """Total amount as DOUBLE from the summed parts; NULL if nothing was summed."""
+    units = high.cast("decimal(20,0)") * F.lit(1 << LOW_BITS) + low.cast("decimal(20,0)")
+    whole = units.cast("decimal(31,0)") + micros.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    total = whole.cast("double")
+    return F.when(huge.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + huge)
 
 
 def rate_pct(part: Column, whole: Column) -> Column:

@@ -94,7 +94,7 @@ def project_export(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*extra, *SCORED_SCHEMA.fieldNames())
 
 
-def project_stream(df: DataFrame) -> DataFrame:
+def project_stream(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
-        "step", "type", "amount", "prediction", "fraud_probability", "risk_score", "risk_level"
+        *extra, "step", "type", "amount", "prediction", "fraud_probability", "risk_score", "risk_level"
     )

@@ -9,35 +9,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payrisk.functions.numeric import amount_from_parts, cents, cents_parts, rate_pct
+from payrisk.functions.numeric import (
+    AMOUNT_PARTS,
+    amount_from_parts,
+    amount_parts,
+    priced,
+    rate_pct,
+)
 from payrisk.functions.risk import amount_bucket
 from payrisk.operators.label_counts import N_ROWS, rows_in
 from payrisk.schema import AMOUNT_BUCKETS, RISK_LEVELS, TOP_RISK_ROWS
 
-TOP_TASKS = 10_000
+
+TOP_GROUPS = 1_000
 
 
 def _priced(df: DataFrame) -> Column:
     """How many of the rows carry an amount (means leave out the others)."""
     if N_ROWS in df.columns:
         return F.col("n_amounts")
-    return F.when(cents(F.col("amount")).isNotNull(), F.lit(1).cast("bigint")).otherwise(0)
+    return F.when(priced(F.col("amount")), F.lit(1).cast("bigint")).otherwise(0)
 
 
-def _amount_parts(df: DataFrame) -> tuple[Column, Column]:
+def _amount_parts(df: DataFrame) -> tuple[Column, ...]:
     if N_ROWS in df.columns:
-        return F.col("cents_high"), F.col("cents_low")
-    return cents_parts(F.col("amount"))
+        return tuple(F.col(name) for name in AMOUNT_PARTS)
+    return amount_parts(F.col("amount"))
 
 
 def _total(df: DataFrame, condition: Column | None = None) -> Column:
     """Exact sum of the amounts (where a condition holds); NULL if there is none."""
     chosen = (p if condition is None else F.when(condition, p) for p in _amount_parts(df))
-    high, low = (F.sum(part) for part in chosen)
-    return amount_from_parts(high, low)
+    return amount_from_parts(*(F.sum(part) for part in chosen))
 
 
 def _bucket(df: DataFrame) -> Column:
@@ -50,7 +56,7 @@ def scored_cells(df: DataFrame) -> DataFrame:
     return df.groupBy("prediction", "risk_level", _bucket(df).alias("amount_bucket")).agg(
         F.count("*").alias(N_ROWS),
         F.sum(_priced(df)).alias("n_amounts"),
-        *[F.sum(p).alias(n) for p, n in zip(_amount_parts(df), ("cents_high", "cents_low"))],
+        *[F.sum(p).alias(n) for p, n in zip(_amount_parts(df), AMOUNT_PARTS)],
     )
 
 
@@ -177,7 +183,8 @@ def risk_level_counts(df: DataFrame, missing: int | None = 0) -> DataFrame:
 
 
 def sample_kpis(sample: DataFrame) -> DataFrame:
-    """Figures of the analytics page, meant for a class-preserving sample."""
+    """Figures of the analytics page, over all rows it is given: rates of a class-preserving
+    sample would be biased by how it was drawn."""
     return summary_kpis(sample).select(
         F.col("total_transactions").alias("transactions"),
         "predicted_fraud",
@@ -189,7 +196,17 @@ def sample_kpis(sample: DataFrame) -> DataFrame:
 def top_risk(df: DataFrame, n: int = TOP_RISK_ROWS, tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """The n riskiest rows. NULL and NaN scores sort last; name a key to settle ties.
 
-    Each task sends on its own n best rows. Their number is bounded with that of the tasks.
+    Each task sends on its own n best rows. These meet in groups of tasks first, then in one
+    place, so no step takes more than n rows from each of ``TOP_GROUPS`` sources.
     """
     score = F.nanvl(F.col("risk_score"), F.lit(None).cast("double"))
-    return df.coalesce(TOP_TASKS).orderBy(score.desc_nulls_last(), *tiebreak).limit(n)
+    order = [score.desc_nulls_last(), *tiebreak]
+    group = F.pmod(F.spark_partition_id(), F.lit(TOP_GROUPS))
+    best = Window.partitionBy("__group").orderBy(*order)
+    first = (
+        df.withColumn("__group", group)
+        .withColumn("__place", F.row_number().over(best))
+        .filter(F.col("__place") <= n)
+        .drop("__group", "__place")
+    )
+    return first.orderBy(*order).limit(n)

@@ -12,27 +12,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payrisk.functions.numeric import HASH_SPACE, row_hash32, stable_hash32
-from payrisk.schema import FACT_TABLE_LIMIT, REPLAY_LIMIT, SPLIT_SEED, TRAIN_FRACTION
+from payrisk.schema import SPLIT_SEED, TRAIN_FRACTION
+from payrisk.session import shared_dir
 
-SMALL_GROUP = 100_000
 DIGIT_BITS = 16
 
 
 # Samples draw on another hash than splits, or every sampled row would be a training row.
 SAMPLE_SALT = "sample:"
-HEAD_TASKS = 8
 
 
 def _hash(df: DataFrame, key: str | None, salt: str = "") -> Column:
     return stable_hash32(F.col(key), salt) if key else row_hash32(df.columns, salt)
 
 
-def head_transactions(df: DataFrame, n: int = REPLAY_LIMIT) -> DataFrame:
-    """The first n rows a scan returns.
-
-    Few tasks, since each stops after n rows of its own before they meet in one place.
-    """
-    return df.coalesce(HEAD_TASKS).limit(n)
+def head_transactions(df: DataFrame, n: int) -> DataFrame:
+    """The first n rows a scan returns; each task stops after n rows of its own."""
+    return df.limit(n)
 
 
 def with_split(
@@ -61,91 +57,85 @@ def split_random(
     return train, test
 
 
-def downsample_keep_fraud(
-    df: DataFrame, limit: int = FACT_TABLE_LIMIT, key: str | None = None
-) -> DataFrame:
-    """All predicted frauds plus about ``limit - frauds`` of the others, by hash threshold.
+def downsample_keep_fraud(df: DataFrame, fraction: float, key: str | None = None) -> DataFrame:
+    """All predicted frauds and the given fraction of the others, by hash threshold: a filter.
 
-    Tables within the limit come back whole. One counting pass fixes the threshold; the
-    sample itself is a filter.
+    Rows without a prediction are in no class and in no sample, whatever its size.
     """
-    fraud, safe = F.col("prediction") == 1, F.col("prediction") == 0
-    others = F.count_if(safe)
-    room = F.greatest(F.lit(limit).cast("bigint") - F.count_if(fraud), F.lit(0))
-    cut = F.when(others > 0, (room.cast("double") / others * HASH_SPACE).cast("bigint"))
-    keep_all = F.lit(HASH_SPACE + 1)
-    below = df.agg(
-        F.when(F.count("*") <= limit, keep_all).otherwise(F.coalesce(cut, F.lit(0)))
-    ).scalar()
-    place = F.when(fraud, -1).when(safe, _hash(df, key, SAMPLE_SALT)).otherwise(HASH_SPACE)
-    return df.filter(place < below)
+    cut = math.ceil(fraction * HASH_SPACE)
+    safe = F.col("prediction") == 0
+    return df.filter((F.col("prediction") == 1) | (safe & (_hash(df, key, SAMPLE_SALT) < cut)))
 
 
 def downsample_exact(
-    df: DataFrame, limit: int = FACT_TABLE_LIMIT, key: str | None = None
+    df: DataFrame,
+    limit: int | None = None,
+    key: str | None = None,
+    fraction: float | None = None,
 ) -> DataFrame:
-    """Like ``downsample_keep_fraud`` with exactly ``limit`` rows (more if frauds exceed it).
-
-    The others kept are those with the lowest hashes. Counting rows per 16-bit slice of
-    the hash finds the slice where the quota runs out; only rows in that slice are looked
-    at further. A slice that is still large, say because of a key shared by many rows, is
-    cut again by a hash of the whole row. Copies of one row are counted, not listed.
-    Runs up to seven small counting jobs, so give it a stored table.
+    """All predicted frauds and as many others as make ``limit`` rows, or exactly the given
+    fraction of the others (rounded down).
+
+    The others kept are the first in one order: hash of the key, then hash of the row. Rows
+    are counted per 16-bit slice of that order, and the slice in which the quota runs out is
+    cut again by the next 16 bits, until it runs out between two rows. Only copies of one row
+    are left to share a place; they are counted, not listed. Every pass is an aggregate of at
+    most 2^16 slices, so give it a stored table. Rows without a prediction are in no sample.
     """
-    columns = df.columns
     fraud, safe = F.col("prediction") == 1, F.col("prediction") == 0
-    total, frauds = df.agg(F.count("*"), F.count_if(fraud)).first()
-    if total <= limit:
-        return df
-    kept = df.filter(fraud)
-    need = limit - frauds
+    order = [_hash(df, key, SAMPLE_SALT), F.xxhash64(*df.columns)]
+    digits = [_digit(order[0], shift) for shift in (16, 0)]
+    digits += [_digit(order[1], shift) for shift in (48, 32, 16, 0)]
+
+    frauds, others, first = _slices_by_class(df, fraud, safe, digits[0])
+    need = math.floor(fraction * others) if fraction is not None else limit - frauds
+    if need >= others:
+        return df.filter(fraud | safe)
     if need <= 0:
-        return kept
-
-    key_hash = _hash(df, key, SAMPLE_SALT)
-    row_hash = F.xxhash64(*columns)
-    slices = [_digit(key_hash, shift) for shift in (16, 0)]
-    slices += [_digit(row_hash, shift) for shift in (48, 32, 16, 0)]
-    decided, open_rows = F.lit(False), safe
-    for digit in slices:
-        found = _slice_at(df.filter(open_rows), digit, need)
-        if found is None:  # fewer rows than asked for: keep them all
-            return df.filter(fraud | decided | open_rows)
-        slice_no, in_slice, before = found
-        decided = decided | (open_rows & (digit < slice_no))
-        open_rows = open_rows & (digit == slice_no)
+        return df.filter(fraud)
+
+    decided, edge = F.lit(False), safe
+    for i, digit in enumerate(digits):
+        per_slice = first if i == 0 else df.filter(edge).groupBy(digit.alias("slice")).agg(F.count("*").alias("n"))
+        slice_no, in_slice, before = _slice_at(per_slice, need)
+        decided = decided | (edge & (digit < slice_no))
+        edge = edge & (digit == slice_no)
         need -= before
         if in_slice == need:
-            return df.filter(fraud | decided | open_rows)
-        if in_slice <= SMALL_GROUP:
-            break
-    edge = _first_rows(df.filter(open_rows), need, key_hash, key)
-    return df.filter(fraud | decided).unionByName(edge)
+            return df.filter(fraud | decided | edge)
+    return df.filter(fraud | decided).unionByName(_first_copies(df.filter(edge), need))
+
+
+def _slices_by_class(df: DataFrame, fraud: Column, safe: Column, digit: Column):
+    """(frauds, others, others per slice) from one pass."""
+    counts = df.filter(fraud | safe).groupBy(F.when(safe, digit).alias("slice")).agg(F.count("*").alias("n"))
+    shared_dir(df.sparkSession)
+    counts = counts.checkpoint()
+    per_slice = counts.filter(F.col("slice").isNotNull())
+    totals = counts.agg(F.sum(F.when(F.col("slice").isNull(), F.col("n"))), F.sum(F.when(F.col("slice").isNotNull(), F.col("n"))))
+    frauds, others = totals.first()
+    return frauds or 0, others or 0, per_slice
 
 
 def _digit(value: Column, shift: int) -> Column:
     return F.shiftrightunsigned(value, shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
 
 
-def _slice_at(df: DataFrame, digit: Column, need: int) -> tuple[int, int, int] | None:
+def _slice_at(per_slice: DataFrame, need: int) -> tuple[int, int, int]:
     """(slice, rows in it, rows before it) where the running count reaches ``need``.
 
     At most 2^16 slices reach the window, whatever the size of the table.
     """
-    per_slice = df.groupBy(digit.alias("slice")).agg(F.count("*").alias("n"))
     running = per_slice.withColumn("upto", F.sum("n").over(Window.orderBy("slice")))
     hit = running.filter(F.col("upto") >= need).orderBy("slice").first()
-    return (hit["slice"], hit["n"], hit["upto"] - hit["n"]) if hit else None
+    return hit["slice"], hit["n"], hit["upto"] - hit["n"]
 
 
-def _first_rows(df: DataFrame, need: int, key_hash: Column, key: str | None) -> DataFrame:
-    """Exactly ``need`` rows in hash order; equal rows are collapsed before they are ranked."""
+def _first_copies(df: DataFrame, need: int) -> DataFrame:
+    """Exactly ``need`` of the rows, which are copies of one row but for a clash of hashes."""
     columns = df.columns
     copies = df.groupBy(*columns).agg(F.count("*").alias("__copies"))
-    order = Window.orderBy(key_hash, *([key] if key else []), *columns)
-    before = F.sum("__copies").over(order) - F.col("__copies")
+    before = F.sum("__copies").over(Window.orderBy(*columns)) - F.col("__copies")
     take = F.least(F.col("__copies"), F.lit(need).cast("bigint") - before)
     ranked = copies.withColumn("__take", take).filter(F.col("__take") > 0)
-    return ranked.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__take")))).select(
-        *columns
-    )
+    return ranked.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__take")))).select(*columns)

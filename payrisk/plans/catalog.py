@@ -11,12 +11,13 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from payrisk import operators as ops
 from payrisk.functions.features import Drained, add_features
-from payrisk.functions.numeric import amount_from_parts, cents_parts
+from payrisk.functions.numeric import amount_from_parts, amount_parts
 from payrisk.functions.risk import (
     add_amount_bucket,
     project_export,
@@ -25,7 +26,14 @@ from payrisk.functions.risk import (
     rule_score,
 )
 from payrisk.plans import jobs
-from payrisk.schema import ANALYTICS_SAMPLE_LIMIT, FEATURES, SCORED_SCHEMA
+from payrisk.schema import (
+    FEATURES,
+    LABEL_COUNT_SCHEMA,
+    RISK_CUTS,
+    RISK_LEVELS,
+    RISK_SCHEMA,
+    SCORED_SCHEMA,
+)
 from payrisk.session import shared_dir
 from payrisk.sources import files
 from payrisk.sources.events import MESSAGE_SCHEMA, decode_events, encode_events
@@ -43,7 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = "tx_id"
 SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()
-SAMPLE_LIMIT = 40_000
+SAMPLE_FRACTION = 0.25  # of the rows that are no predicted frauds
 FILES_PER_BATCH = 1_000
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
 
@@ -92,6 +100,9 @@ def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]
     return _models[place]
 
 
+AUC_FLOOR = 0.75
+
+
 def model_scored(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         model = trained_models(spark, sf_dir)[kind]
@@ -121,14 +132,24 @@ def over_features(
     return lambda spark, sf_dir: operator(featured(spark, sf_dir, drained))
 
 
-def over_gbt(operator: Callable[[DataFrame], DataFrame]) -> Query:
-    """An operator on the whole table as scored by the boosted trees."""
-
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = (spark.sparkContext.applicationId, f"{sf_dir}#gbt")
+    if place not in _tables:
         model = trained_models(spark, sf_dir)["gbt"]
-        return operator(ops.score(model, stored_features(spark, sf_dir)))
+        path = work_dir(spark, "gbt")
+        scored = ops.score(model, stored_features(spark, sf_dir))
+        scored.select(KEY, *SCORED_COLUMNS, "isFraud", "risk_score", "risk_level").write.parquet(path)
+        _tables[place] = path
+    return spark.read.parquet(_tables[place])
 
-    return query
+
+def head_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the rows from the head of the scan: how many, and how many of no table row."""
+    rows = stored(spark, transactions(spark, sf_dir).select(KEY))
+    head = ops.head_transactions(rows, rows.count() // 10)
+    return head.join(rows.withColumn("known", F.lit(1)), KEY, "left").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("known").isNull()).alias("unknown")
+    )
 
 
 def event_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,13 +220,12 @@ def model_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for kind, model in trained_models(spark, sf_dir).items():
         scored = ops.score(model, test).filter(F.col("risk_level").isNotNull())
-        high, low = cents_parts(F.col("amount"))
         parts.append(
             scored.agg(
                 F.lit(kind).alias("model"),
                 F.count("*").alias("transactions"),
                 F.count_if(F.col("isFraud") == 1).alias("frauds"),
-                amount_from_parts(F.sum(high), F.sum(low)).alias("total_amount"),
+                amount_from_parts(*map(F.sum, amount_parts(F.col("amount")))).alias("total_amount"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -213,13 +233,7 @@ def model_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gbt_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of the marts over the model-scored table: each must cover every row."""
-    model = trained_models(spark, sf_dir)["gbt"]
-    scored = stored(
-        spark,
-        ops.score(model, stored_features(spark, sf_dir)).select(
-            "amount", "prediction", "fraud_probability", "risk_score", "risk_level"
-        ),
-    )
+    scored = stored_gbt_scores(spark, sf_dir)
     total = F.sum("transactions").alias("transactions")
     kpis = ops.summary_kpis(scored).withColumnRenamed("total_transactions", "transactions")
     levels, bins = ops.risk_level_summary(scored), ops.probability_histogram(scored)
@@ -237,11 +251,11 @@ def gbt_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adhoc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw transactions through the saved and reloaded model."""
+    """Raw transactions through the saved and reloaded model, with their keys."""
     folder = work_dir(spark, "models")
     paths = ops.save_models({"gbt": trained_models(spark, sf_dir)["gbt"]}, folder)
     model = ops.load_model(spark, paths["gbt"])
-    return project_stream(ops.score_transactions(transactions(spark, sf_dir), model))
+    return project_stream(ops.score_transactions(transactions(spark, sf_dir), model), KEY)
 
 
 def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,10 +318,40 @@ def stream_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole training job with lighter models; returns their comparison."""
-    tx = transactions(spark, sf_dir)
-    lighter = {"lr": {"maxIter": 20}, "rf": {"numTrees": 10}, "gbt": {"maxIter": 5}}
-    return jobs.run_training(tx, work_dir(spark, "training"), KEY, params=lighter)
+    """The whole training job; what it wrote, read back.
+
+    Per label report its rows and their counts, for the risk table its rows, and per model
+    whether it ranks the test rows well.
+    """
+    out = work_dir(spark, "training")
+    comparison = jobs.run_training(transactions(spark, sf_dir), out, KEY)
+    parts = [
+        files.read_csv_parts(spark, f"{out}/{name}", _report_schema(name), False).agg(
+            F.lit(name).alias("item"), F.count("*").alias("rows"), F.sum("count").alias("total")
+        )
+        for name in REPORTS
+    ]
+    risk = files.read_csv_parts(spark, f"{out}/final_risk_scores", RISK_SCHEMA, False)
+    parts.append(
+        risk.agg(
+            F.lit("final_risk_scores").alias("item"),
+            F.count("*").alias("rows"),
+            F.count_if(F.col("fraud_probability").between(0, 1)).alias("total"),
+        )
+    )
+    parts.append(
+        comparison.select(
+            F.col("model").alias("item"),
+            F.lit(1).cast("bigint").alias("rows"),
+            (F.col("auc") > AUC_FLOOR).cast("bigint").alias("total"),
+        )
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _report_schema(name: str) -> T.StructType:
+    by_type = [f for f in LABEL_COUNT_SCHEMA.fields if f.name != "type" or name == "fraud_by_type"]
+    return T.StructType(by_type)
 
 
 def export_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,10 +379,146 @@ def _rounded_bins(df: DataFrame) -> DataFrame:
     )
 
 
+# Checks: what a model gives has no SQL twin, but what must hold of it has. Each returns how
+# many rows it saw and how many of them are wrong.
+
+
+def checked(df: DataFrame, wrong: Column, **flags: Column) -> DataFrame:
+    return df.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.coalesce(wrong, F.lit(True))).alias("wrong"),
+        *[value.alias(name) for name, value in flags.items()],
+    )
+
+
+def _contradicts() -> Column:
+    """Probability outside [0, 1], or class, score or level that do not follow from it."""
+    p, score = F.col("fraud_probability"), F.col("risk_score")
+    low, medium, high = RISK_LEVELS
+    level = F.when(score <= RISK_CUTS[0], low).when(score <= RISK_CUTS[1], medium).otherwise(high)
+    return ~(
+        p.between(0, 1)
+        & (F.abs(score - p * 100) < 1e-9)
+        & (F.col("risk_level") == level)
+        & ((F.abs(p - 0.5) < 1e-9) | (F.col("prediction") == (p > 0.5).cast("double")))
+    )
+
+
+def model_check(kind: str) -> Query:
+    """The held-out rows as a model scores them, and whether it ranks them well."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = stored(spark, model_scored(kind)(spark, sf_dir))
+        good = ops.auc(scored) > AUC_FLOOR
+        return checked(scored, _contradicts()).withColumn("ranks_well", F.lit(good))
+
+    return query
+
+
+def logistic_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Like ``model_check``, with the probability recomputed from the coefficients."""
+    model = trained_models(spark, sf_dir)["lr"]
+    _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+    scored = stored(spark, ops.score(model, test))
+    fitted = model.stages[-1]
+    margin = F.lit(float(fitted.intercept))
+    for name, weight in zip(FEATURES, fitted.coefficients.toArray(), strict=True):
+        margin = margin + F.col(name) * F.lit(float(weight))
+    off = F.abs(1 / (1 + F.exp(-margin)) - F.col("fraud_probability")) > 1e-9
+    good = ops.auc(scored) > AUC_FLOOR
+    return checked(scored, _contradicts() | off).withColumn("ranks_well", F.lit(good))
+
+
+def comparison_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model_comparison(spark, sf_dir).select("model", (F.col("auc") > AUC_FLOOR).alias("ranks_well"))
+
+
+def _against_batch(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table of scores by key, and those that differ from the batch scores."""
+    batch = stored_gbt_scores(spark, sf_dir).select(
+        KEY, F.col("amount").alias("__amount"), F.col("fraud_probability").alias("__p")
+    )
+    same = F.col("amount").eqNullSafe(F.col("__amount")) & F.col("fraud_probability").eqNullSafe(F.col("__p"))
+    return checked(df.join(batch, KEY, "full"), ~same)
+
+
+def adhoc_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _against_batch(adhoc_scores(spark, sf_dir), spark, sf_dir)
+
+
+def stream_model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _against_batch(stream_model_scores(spark, sf_dir), spark, sf_dir)
+
+
+def export_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exported rows whose inputs are not those of the transaction they name."""
+    inputs = [c for c in SCORED_COLUMNS if c not in ("prediction", "fraud_probability")]
+    tx = transactions(spark, sf_dir).select(KEY, *[F.col(c).alias(f"__{c}") for c in inputs])
+    same = F.col("fraud_probability").between(0, 1)
+    for c in inputs:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return checked(export_job(spark, sf_dir).join(tx, KEY, "full"), ~same)
+
+
+def split_random_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that are in no part or in both."""
+    parts = split_random(spark, sf_dir).groupBy(KEY).agg(F.count("*").alias("parts"))
+    keys = transactions(spark, sf_dir).select(KEY)
+    return checked(keys.join(parts, KEY, "full"), F.col("parts") != 1)
+
+
+def gbt_check(mart: Callable[[DataFrame], DataFrame], rows: str) -> Query:
+    """A mart made from the model's scores: its rows, and what differs if it is made from
+    the cells of the same table."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = stored_gbt_scores(spark, sf_dir)
+        own, other = mart(scored), mart(ops.scored_cells(scored))
+        wrong = own.exceptAll(other).unionByName(other.exceptAll(own)).count()
+        return own.agg(F.sum(rows).alias("rows"), F.lit(wrong).cast("bigint").alias("wrong"))
+
+    return query
+
+
+def gbt_histogram_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in the bins, and bins whose count differs from that of the rows put there by the
+    equal-width formula."""
+    scored = stored_gbt_scores(spark, sf_dir).select(F.col("fraud_probability").alias("p"))
+    bins = ops.probability_histogram(scored.withColumnRenamed("p", "fraud_probability"))
+    low, high = F.min("p"), F.max("p")
+    ends = scored.agg(low.alias("low"), high.alias("high"), F.count("p").alias("all"))
+    n = bins.count()
+    place = F.least(F.floor((F.col("p") - F.col("low")) / (F.col("high") - F.col("low")) * n), F.lit(n - 1))
+    want = scored.join(F.broadcast(ends)).groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("want"))
+    wrong = F.count_if(F.abs(F.col("count") - F.coalesce("want", F.lit(0))) > 1)
+    return bins.join(want, "bin", "left").agg(F.sum("count").alias("rows"), wrong.alias("wrong"))
+
+
+def live_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live scoring job over stored messages: rows of its CSV folder, and wrong ones."""
+    out = work_dir(spark, "live")
+    query = jobs.run_stream(
+        spark, trained_models(spark, sf_dir)["gbt"], out, event_stream(spark, sf_dir),
+        console=False, availableNow=True,
+    )
+    query.awaitTermination()
+    rows = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/stream_predictions")
+    return checked(rows, _contradicts())
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions written as CSV and read with the schema; a mart as one file, read back."""
+    out = work_dir(spark, "csv")
+    files.write_csv(transactions(spark, sf_dir).drop(KEY), f"{out}/tx")
+    read = files.read_transactions(spark, f"{out}/tx")
+    files.write_mart(ops.fraud_by_type_long(read), f"{out}/fraud_by_type")
+    return files.read_csv_parts(spark, f"{out}/fraud_by_type", LABEL_COUNT_SCHEMA, False)
+
+
 QUERIES: dict[str, Query] = {
     # rows
     "transactions": lambda spark, sf_dir: transactions(spark, sf_dir).select(*TX_COLUMNS),
-    "head_transactions": lambda spark, sf_dir: ops.head_transactions(transactions(spark, sf_dir)),
+    "head_transactions": head_transactions,
     "event_round_trip": event_round_trip,
     "features_strict": over_features(_features_of),
     "features_loose": over_features(_features_of, "loose"),
@@ -374,10 +554,7 @@ QUERIES: dict[str, Query] = {
     "amount_buckets": over_rules(ops.amount_buckets),
     "predicted_class_counts": over_rules(ops.predicted_class_counts),
     "risk_level_counts": over_rules(ops.risk_level_counts),
-    "sample_kpis": over_stored_rules(
-        lambda df: ops.sample_kpis(ops.downsample_keep_fraud(df, ANALYTICS_SAMPLE_LIMIT, KEY)),
-        KEY, "amount", "prediction", "risk_level",
-    ),
+    "sample_kpis": over_rules(ops.sample_kpis),
     "bi_marts": bi_marts,
     "top_risk": over_rules(
         lambda df: ops.top_risk(df, tiebreak=(KEY,)).select(KEY, "type", "amount", "risk_score")
@@ -397,35 +574,38 @@ QUERIES: dict[str, Query] = {
         transactions(spark, sf_dir).select(KEY), KEY
     ),
     "split_counts": split_counts,
-    "split_random": split_random,
-    "fact_table": over_stored_rules(
-        lambda df: ops.downsample_keep_fraud(df, key=KEY), KEY, *SCORED_COLUMNS
-    ),
-    "downsample_by_hash": over_stored_rules(
-        lambda df: ops.downsample_keep_fraud(df, SAMPLE_LIMIT, KEY), KEY, *SCORED_COLUMNS
+    "split_random": split_random_check,
+    "fact_table": lambda spark, sf_dir: jobs.build_marts(rule_scored(spark, sf_dir))[
+        "transactions_scored"
+    ].select(KEY, *SCORED_COLUMNS),
+    "downsample_by_hash": over_rules(
+        lambda df: ops.downsample_keep_fraud(df, SAMPLE_FRACTION, KEY).select(KEY, *SCORED_COLUMNS)
     ),
     "downsample_exact": over_stored_rules(
-        lambda df: ops.downsample_exact(df, SAMPLE_LIMIT, KEY), KEY, *SCORED_COLUMNS
+        lambda df: ops.downsample_exact(df, key=KEY, fraction=SAMPLE_FRACTION),
+        KEY, *SCORED_COLUMNS,
     ),
     # models
     "rule_auc": rule_auc,
-    "logistic_scores": model_scored("lr"),
-    "forest_scores": model_scored("rf"),
-    "gbt_scores": model_scored("gbt"),
-    "model_comparison": model_comparison,
+    "logistic_scores": logistic_check,
+    "forest_scores": model_check("rf"),
+    "gbt_scores": model_check("gbt"),
+    "model_comparison": comparison_check,
     "model_coverage": model_coverage,
     "gbt_conservation": gbt_conservation,
-    "adhoc_scores": adhoc_scores,
-    "gbt_summary_kpis": over_gbt(ops.summary_kpis),
-    "gbt_risk_level_summary": over_gbt(ops.risk_level_summary),
-    "gbt_amount_buckets": over_gbt(ops.amount_buckets),
-    "gbt_probability_histogram": over_gbt(ops.probability_histogram),
+    "adhoc_scores": adhoc_check,
+    "gbt_summary_kpis": gbt_check(ops.summary_kpis, "total_transactions"),
+    "gbt_risk_level_summary": gbt_check(ops.risk_level_summary, "transactions"),
+    "gbt_amount_buckets": gbt_check(ops.amount_buckets, "transactions"),
+    "gbt_probability_histogram": gbt_histogram_check,
     # streams and jobs
     "stream_rule_scores": stream_rule_scores,
     "stream_fanout": stream_fanout,
-    "stream_model_scores": stream_model_scores,
+    "stream_model_scores": stream_model_check,
     "training_job": training_job,
-    "export_job": export_job,
+    "export_job": export_check,
+    "live_job": live_job,
+    "csv_round_trip": csv_round_trip,
 }
 
 

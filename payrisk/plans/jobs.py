@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from payrisk.functions.features import Drained, add_features
 from payrisk.functions.risk import project_export, project_risk, with_risk
 from payrisk.operators import label_counts, marts, models, sampling
-from payrisk.schema import FACT_TABLE_LIMIT
 from payrisk.session import shared_dir
 from payrisk.sources import files
 from payrisk.streaming import (
@@ -88,22 +87,21 @@ def run_export(
 def build_marts(
     scored: DataFrame,
     labels: DataFrame | None = None,
-    limit: int = FACT_TABLE_LIMIT,
+    limit: int | None = None,
     key: str | None = None,
-    exact: bool = False,
 ) -> dict[str, DataFrame]:
     """The BI tables by output name.
 
     ``scored`` carries amount, prediction and fraud_probability; ``labels`` the saved
     (type, isFraud, count) rows. One scan makes the cells behind all the aggregates; the
-    fact table is a second, filtered one.
+    fact table holds every row, or with a ``limit`` the frauds and a sample of the others.
     """
     shared_dir(scored.sparkSession)
     risky = with_risk(scored)
     cells = marts.scored_cells(risky).checkpoint()
-    downsample = sampling.downsample_exact if exact else sampling.downsample_keep_fraud
+    facts = risky if limit is None else sampling.downsample_exact(risky, limit, key)
     tables = {
-        "transactions_scored": downsample(risky, limit, key),
+        "transactions_scored": facts,
         "summary_kpis": marts.summary_kpis(cells),
         "risk_level_summary": marts.risk_level_summary(cells),
         "amount_buckets": marts.amount_buckets(cells),

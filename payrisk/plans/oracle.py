@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 TX = """
 lines as (
   select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
@@ -135,30 +137,24 @@ LEVEL_COUNTS = f"""select levels.risk_level, cast(count(scored.tx_id) as bigint)
 from {LEVEL_ROWS} left join scored on scored.risk_level = levels.risk_level group by 1"""
 
 
-def _sampled(limit: int) -> str:
+def _sampled(fraction: float) -> str:
     """CTEs up to ``sampled``: every predicted fraud and the others below a hash cut."""
     return f"""{SCORED},
-sizes as (
-  select count(*) as total,
-         cast(greatest({limit} - count(*) filter (where prediction = 1), 0) as double)
-         / nullif(count(*) filter (where prediction = 0), 0) * cast(4294967296 as double) as cut
-  from scored),
 sampled as (
-  select scored.* from scored, sizes
-  where total <= {limit} or prediction = 1
-        or (prediction = 0 and {SAMPLE_HASH} < cast(floor(cut) as bigint)))"""
+  select * from scored
+  where prediction = 1
+        or (prediction = 0 and {SAMPLE_HASH} < {math.ceil(fraction * 2**32)}))"""
 
 
-def _sampled_exactly(limit: int) -> str:
+def _sampled_exactly(fraction: float) -> str:
     return _with(
         f"""{SCORED},
 ranked as (
   select *, row_number() over (partition by prediction order by {SAMPLE_HASH}, tx_id) as place,
-         count(*) over () as total,
-         count(*) filter (where prediction = 1) over () as frauds
+         count(*) over (partition by prediction) as others
   from scored)""",
         f"""select {EXPORTED} from ranked
-where total <= {limit} or prediction = 1 or (prediction = 0 and place <= {limit} - frauds)""",
+where prediction = 1 or (prediction = 0 and place <= floor({fraction} * others))""",
     )
 
 
@@ -227,23 +223,24 @@ def _distributions() -> str:
     return _with(ctes, "\nunion all\n".join(selects))
 
 
-def _label_reports() -> str:
+def _label_reports_over(source: str) -> str:
     parts = {
         "fraud_vs_normal": ("cast(null as varchar)", "true"),
         "fraud_by_type": ("type", "true"),
         "high_value_fraud": ("cast(null as varchar)", '"highValueTransaction" = 1'),
         "account_drained_cases": ("cast(null as varchar)", '"accountDrained" = 1'),
     }
-    return _with(
-        FEATURED,
-        "\nunion all\n".join(
-            f"select '{name}' as report, {kind} as type, \"isFraud\", {_count()} as count "
-            f"from featured where {where} group by 1, 2, 3"
-            for name, (kind, where) in parts.items()
-        ),
+    return "\nunion all\n".join(
+        f"select '{name}' as report, {kind} as type, \"isFraud\", {_count()} as count "
+        f"from {source} where {where} group by 1, 2, 3"
+        for name, (kind, where) in parts.items()
     )
 
 
+def _label_reports() -> str:
+    return _with(FEATURED, _label_reports_over("featured"))
+
+
 def _bi_marts() -> str:
     fraud = _count("prediction = 1")
     amount = "cast(sum(money) as double)"
@@ -260,7 +257,7 @@ from scored where amount_bucket is not null group by amount_bucket""",
     )
 
 
-def oracle_queries(sample_limit: int, analytics_limit: int, fact_limit: int) -> dict[str, str]:
+def oracle_queries(sample_fraction: float) -> dict[str, str]:
     drained = '"accountDrained" = 1'
     features = (
         'tx_id, amount, "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest", '
@@ -275,6 +272,10 @@ ranks as (
          + (count(*) over (partition by fraud_probability) - 1) / cast(2 as double) as r
   from scored)"""
     exported = f"select {EXPORTED} from sampled"
+    marked = f"{TX},\nmarked as (select *, {split} from tx)"
+    none = "cast(0 as bigint) as wrong"
+    held_out = _with(marked, f"select {_count()} as rows, {none}, true as ranks_well from marked where split = 'test'")
+    every_row = _with(TX, f"select {_count()} as rows, {none} from tx")
     return {
         "transactions": _with(TX, "select * from tx"),
         "event_round_trip": _with(TX, "select * exclude (tx_id) from tx"),
@@ -321,9 +322,9 @@ from scored where amount_bucket is not null group by amount_bucket""",
         ),
         "risk_level_counts": _with(SCORED, LEVEL_COUNTS),
         "sample_kpis": _with(
-            _sampled(analytics_limit),
+            SCORED,
             f"""select total_transactions as transactions, predicted_fraud, "fraud_rate_%",
-       high_risk_transactions from ({_kpis("sampled")}) as k""",
+       high_risk_transactions from ({_kpis("scored")}) as k""",
         ),
         "bi_marts": _bi_marts(),
         "top_risk": _with(
@@ -352,9 +353,37 @@ from scored where amount_bucket is not null group by amount_bucket""",
         "split_counts": _with(
             TX, f'select {split}, "isFraud", {_count()} as count from tx group by 1, 2'
         ),
-        "fact_table": _with(_sampled(fact_limit), exported),
-        "downsample_by_hash": _with(_sampled(sample_limit), exported),
-        "downsample_exact": _sampled_exactly(sample_limit),
+        "fact_table": _with(SCORED, f"select {EXPORTED} from scored"),
+        "downsample_by_hash": _with(_sampled(sample_fraction), exported),
+        "downsample_exact": _sampled_exactly(sample_fraction),
+        "head_transactions": _with(
+            TX, "select cast(count(*) // 10 as bigint) as rows, cast(0 as bigint) as unknown from tx"
+        ),
+        "csv_round_trip": _with(
+            TX, f'select type, "isFraud", {_count()} as count from tx group by type, "isFraud"'
+        ),
+        "model_comparison": "select model, true as ranks_well from (values "
+        "('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) as m(model)",
+        "training_job": _with(
+            f"{FEATURED},\nreports as ({_label_reports_over('featured')}),\n"
+            f"marked as (select *, {split} from tx)",
+            f"""select report as item, {_count()} as rows, cast(sum(count) as bigint) as total
+from reports group by report
+union all
+select 'final_risk_scores', {_count()}, {_count()} from marked where split = 'test'
+union all
+select model, cast(1 as bigint), cast(1 as bigint) from (values
+  ('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) as m(model)""",
+        ),
+        **{name: held_out for name in ("logistic_scores", "forest_scores", "gbt_scores")},
+        **{
+            name: every_row
+            for name in (
+                "adhoc_scores", "stream_model_scores", "export_job", "live_job", "split_random",
+                "gbt_summary_kpis", "gbt_risk_level_summary", "gbt_amount_buckets",
+                "gbt_probability_histogram",
+            )
+        },
         "model_coverage": _with(
             f"{TX},\nmarked as (select *, {split} from tx)",
             f"""select model, {_count()} as transactions, {_count('"isFraud" = 1')} as frauds,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One row per payment. Passing this schema saves the inference scan over the input.
+# Fixed by the data format. One row per payment; passing this schema saves the inference scan over the input.
 TX_SCHEMA = T.StructType(
     [
         T.StructField("step", T.IntegerType()),
@@ -21,7 +21,7 @@ TX_SCHEMA = T.StructType(
     ]
 )
 
-# Scored transactions as exported for BI.
+# Fixed by the data format: scored transactions as exported for BI.
 SCORED_SCHEMA = T.StructType(
     [
         T.StructField("amount", T.DoubleType()),
@@ -51,7 +51,7 @@ LABEL_COUNT_SCHEMA = T.StructType(
     ]
 )
 
-# Model inputs, in vector order.
+# Model inputs, in vector order.
 FEATURES = (
     "amount",
     "oldbalanceOrg",
@@ -70,6 +70,7 @@ RISK_LEVELS = ("Low Risk", "Medium Risk", "High Risk")
 RISK_CUTS = (40, 70)  # upper ends (inclusive) of Low and Medium
 AMOUNT_BUCKET_STARTS = (0, 1_000, 10_000, 100_000, 200_000, 500_000)
 AMOUNT_BUCKETS = ("<1K", "1K–10K", "10K–100K", "100K–200K", "200K–500K", "500K+")
+# Hundredths of the published weights, as integers so that sums are exact.
 RULE_POINTS = {
     "high_value_flag": 35,
     "drained_flag": 30,
@@ -82,7 +83,4 @@ BALANCE_ERROR_LIMIT = 1_000
 TAIL_PROBABILITY = 0.3
 TRAIN_FRACTION = 0.8
 SPLIT_SEED = 42
-FACT_TABLE_LIMIT = 500_000
-ANALYTICS_SAMPLE_LIMIT = 200_000
-REPLAY_LIMIT = 10_000
 TOP_RISK_ROWS = 50

@@ -25,8 +25,11 @@ def read_transactions(
     return df.repartition(num_partitions) if num_partitions else df
 
 
-def read_csv_parts(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """All CSV parts of a folder as one table; a missing or empty folder gives no rows.
+def read_csv_parts(
+    spark: SparkSession, folder: str, schema: T.StructType, may_be_missing: bool = True
+) -> DataFrame:
+    """All CSV parts of a folder as one table; a missing folder gives no rows, or with
+    ``may_be_missing`` off an error.
 
     Headers must match the schema, so columns are never taken for one another.
     """
@@ -38,15 +41,18 @@ def read_csv_parts(spark: SparkSession, folder: str, schema: T.StructType) -> Da
             .csv(folder)
         )
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not may_be_missing or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def read_scored(spark: SparkSession, folder: str, extra: tuple[str, ...] = ()) -> DataFrame:
+def read_scored(
+    spark: SparkSession, folder: str, extra: tuple[str, ...] = (), may_be_missing: bool = True
+) -> DataFrame:
     """An exported scored table, with the text columns it was led by, if any."""
     leading = [T.StructField(name, T.StringType()) for name in extra]
-    return read_csv_parts(spark, folder, T.StructType([*leading, *SCORED_SCHEMA.fields]))
+    schema = T.StructType([*leading, *SCORED_SCHEMA.fields])
+    return read_csv_parts(spark, folder, schema, may_be_missing)
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:

@@ -21,6 +21,7 @@ SAME_TYPE = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
 }
 
 

@@ -75,13 +75,14 @@ def test_published_rates_by_type(spark):
 
 
 def _cell(prediction, level, bucket, n, amount):
-    cents = int(Decimal(amount) * 100)
-    return (prediction, level, bucket, n, n, cents >> 20, cents & ((1 << 20) - 1))
+    micros = int(Decimal(amount) * 1_000_000)
+    units, rest = divmod(micros, 1_000_000)
+    return (prediction, level, bucket, n, n, units >> 20, units & ((1 << 20) - 1), rest, None)
 
 
 CELLS = (
     "prediction double, risk_level string, amount_bucket string, n_rows bigint, "
-    "n_amounts bigint, cents_high bigint, cents_low bigint"
+    "n_amounts bigint, units_high bigint, units_low bigint, micros bigint, huge double"
 )
 
 
@@ -154,6 +155,18 @@ def test_amounts_too_large_for_one_sum_of_cents(spark, scored):
     assert ops.summary_kpis(df).first()["total_amount"] == 2.4e17
 
 
+def test_amounts_neither_fail_nor_vanish(scored):
+    df = scored((math.inf, 0.9), (1.0, 0.9), (1e17, 0.1), (0.004, 0.1), (None, 0.1), (math.nan, 0.1))
+    for table in (df, ops.scored_cells(df)):
+        kpis = ops.summary_kpis(table).first()
+        assert (kpis["total_transactions"], kpis["total_amount"]) == (6, math.inf)
+        levels = {r["risk_level"]: r for r in ops.risk_level_summary(table).collect()}
+        assert levels["High Risk"]["total_amount"] == math.inf
+        assert levels["Low Risk"]["total_amount"] == 1e17
+    small = ops.summary_kpis(scored((0.004, 0.1), (0.004, 0.1), (-0.25, 0.1))).first()
+    assert small["total_amount"] == pytest.approx(-0.242, abs=1e-12)
+
+
 def test_no_frauds_at_all(scored):
     df = scored((10.0, 0.1), (20.0, 0.2))
     assert rows(ops.summary_kpis(df)) == [(2, 0, 0.0, 0, 0, 30.0, 0.0, 0.0)]
@@ -184,11 +197,17 @@ def test_top_risk_puts_unscored_rows_last(spark):
     assert [r["k"] for r in ops.top_risk(df, 3, ("k",)).collect()] == ["c", "e", "a"]
 
 
+def test_top_risk_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(ops.marts, "TOP_GROUPS", 3)
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 97).cast("double").alias("risk_score"))
+    got = [r["k"] for r in ops.top_risk(df.repartition(20), 15, ("k",)).collect()]
+    assert got == sorted(range(1000), key=lambda k: (-(k % 97), k))[:15]
+
+
 def test_sample_figures(scored_small):
-    sample = ops.downsample_keep_fraud(scored_small, 4000, "tx_id")
-    row = ops.sample_kpis(sample).first()
-    assert row["transactions"] == sample.count()
-    assert row["predicted_fraud"] == scored_small.filter("prediction = 1").count()
+    row, kpis = ops.sample_kpis(scored_small).first(), ops.summary_kpis(scored_small).first()
+    assert row["transactions"] == kpis["total_transactions"] == scored_small.count()
+    assert row["fraud_rate_%"] == kpis["fraud_rate_%"]
 
 
 def test_rule_scores_on_rows_without_model(make_tx):

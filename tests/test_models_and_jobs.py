@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from payrisk import operators as ops
@@ -110,7 +111,7 @@ def test_export_then_marts(spark, tx_small, trained, tmp_path):
     assert scored.filter(F.col("fraud_probability").isNull()).isEmpty()
 
     labels = ops.fraud_by_type_long(tx_small)
-    tables = build_marts(scored, labels, limit=3000, key="tx_id", exact=True)
+    tables = build_marts(scored, labels, limit=3000, key="tx_id")
     written = write_marts(tables, out)
     assert set(written) == {
         "transactions_scored", "summary_kpis", "fraud_by_type", "risk_level_summary",
@@ -122,6 +123,7 @@ def test_export_then_marts(spark, tx_small, trained, tmp_path):
     fact = tables["transactions_scored"]
     assert fact.count() == max(3000, frauds)
     assert fact.filter("prediction = 1").count() == frauds
+    assert build_marts(scored)["transactions_scored"].count() == scored.count()
     kpis = tables["summary_kpis"].first()
     assert kpis["total_transactions"] == tx_small.count()
     assert kpis["predicted_fraud"] == frauds
@@ -146,13 +148,17 @@ def test_command_line_end_to_end(spark, tx_small, tmp_path, capsys):
     model = f"{out}/models/gbt_model"
     main(["export", data, model, out])
     predictions = f"{out}/fraud_predictions"
-    main(["marts", predictions, f"{out}/fraud_by_type", f"{out}/bi", "--limit", "2000", "--exact"])
+    main(["marts", predictions, f"{out}/fraud_by_type", f"{out}/bi"])
     kpis = spark.read.option("header", True).csv(f"{out}/bi/summary_kpis").first()
     assert int(kpis["total_transactions"]) == tx_small.count()
     fact = spark.read.option("header", True).csv(f"{out}/bi/transactions_scored")
-    assert fact.count() == max(2000, int(kpis["predicted_fraud"]))
+    assert fact.count() == tx_small.count()
+    for job in (["marts", f"{out}/none", f"{out}/fraud_by_type", f"{out}/no"], ["distributions", f"{out}/none", f"{out}/no"]):
+        with pytest.raises(AnalysisException):
+            main(job)
     main(["distributions", predictions, f"{out}/bi/distributions"])
     bins = spark.read.option("header", True).csv(f"{out}/bi/distributions")
     assert bins.count() == 40 + 30 + 40 + 59 + 59
-    main(["score", data, model, "--rows", "3"])
+    main(["score", data, model, f"{out}/scores", "--rows", "3"])
+    assert spark.read.option("header", True).csv(f"{out}/scores").count() == tx_small.count()
     assert "risk_level" in capsys.readouterr().out

@@ -7,9 +7,10 @@ from conftest import SMALL
 from oracle_check import connect, differences
 
 import __spark_entry__ as contract
+from payrisk.plans.catalog import QUERIES, SAMPLE_FRACTION
+from payrisk.plans.oracle import oracle_queries
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
+SQL = oracle_queries(SAMPLE_FRACTION)
 
 
 @pytest.fixture(scope="module")
@@ -17,17 +18,9 @@ def con():
     return connect(SMALL)
 
 
-def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(QUERIES)
-
-
-def test_only_models_samples_and_jobs_lack_sql():
-    assert set(QUERIES) - set(SQL) == {
-        "head_transactions", "split_random", "logistic_scores", "forest_scores", "gbt_scores",
-        "model_comparison", "adhoc_scores", "gbt_summary_kpis", "gbt_risk_level_summary",
-        "gbt_amount_buckets", "gbt_probability_histogram", "stream_model_scores",
-        "training_job", "export_job",
-    }
+def test_every_query_has_its_sql():
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
@@ -40,36 +33,3 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, SQL[name]) == []
-
-
-def test_model_queries(spark):
-    """One training serves all of them; the totals must not depend on the model."""
-    test_rows = None
-    for name in ("logistic_scores", "forest_scores", "gbt_scores"):
-        keys = {r["tx_id"] for r in QUERIES[name](spark, SMALL).select("tx_id").collect()}
-        test_rows = test_rows or keys
-        assert keys == test_rows
-    auc = {r["model"]: r["auc"] for r in QUERIES["model_comparison"](spark, SMALL).collect()}
-    assert len(auc) == 3 and min(auc.values()) > 0.75
-    kpis = QUERIES["gbt_summary_kpis"](spark, SMALL).first()
-    rules = QUERIES["summary_kpis"](spark, SMALL).first()
-    assert kpis["total_transactions"] == rules["total_transactions"]
-    assert kpis["total_amount"] == rules["total_amount"]
-    levels = QUERIES["gbt_risk_level_summary"](spark, SMALL).collect()
-    buckets = QUERIES["gbt_amount_buckets"](spark, SMALL).collect()
-    bins = QUERIES["gbt_probability_histogram"](spark, SMALL).collect()
-    for part, column in ((levels, "transactions"), (buckets, "transactions"), (bins, "count")):
-        assert sum(r[column] for r in part) == kpis["total_transactions"]
-    assert sum(r["fraud"] for r in buckets) == kpis["predicted_fraud"]
-
-
-def test_streamed_model_scores_equal_batch(spark):
-    streamed = QUERIES["stream_model_scores"](spark, SMALL).drop("tx_id")
-    batch = QUERIES["adhoc_scores"](spark, SMALL)
-    assert streamed.count() == batch.count() == 6000
-    assert streamed.exceptAll(batch).isEmpty()
-
-
-def test_export_query_scores_every_row(spark):
-    df = QUERIES["export_job"](spark, SMALL)
-    assert df.select("tx_id").distinct().count() == df.count() == 6000

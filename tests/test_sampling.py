@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from payrisk import operators as ops
-from payrisk.operators import sampling
 
 
 def word(key: str) -> int:
@@ -55,39 +54,47 @@ def test_head(table):
     assert ops.head_transactions(table.repartition(50), 1999).count() == 1999
 
 
-@pytest.mark.parametrize("sample", [ops.downsample_keep_fraud, ops.downsample_exact])
-def test_small_tables_and_many_frauds(table, sample):
-    assert sample(table, 2000, "k").count() == 2000
-    only_frauds = sample(table, 150, "k")
+@pytest.mark.parametrize("exact", [False, True])
+def test_whole_and_no_sample(table, exact):
+    def sample(fraction):
+        if exact:
+            return ops.downsample_exact(table, key="k", fraction=fraction)
+        return ops.downsample_keep_fraud(table, fraction, "k")
+
+    assert sample(1.0).count() == 2000
+    only_frauds = sample(0.0)
     assert only_frauds.count() == only_frauds.filter("prediction = 1").count() == 200
 
 
+def test_more_frauds_than_the_limit(table):
+    assert ops.downsample_exact(table, 150, "k").count() == 200
+    assert ops.downsample_exact(table, 5000, "k").count() == 2000
+
+
 def test_hash_sample_is_the_hash_rule(table):
-    kept = {r["k"] for r in ops.downsample_keep_fraud(table, 1000, "k").collect()}
-    cut = int((1000 - 200) / 1800 * 2**32)
+    kept = {r["k"] for r in ops.downsample_keep_fraud(table, 0.4, "k").collect()}
     assert kept == {
-        f"k{i}" for i in range(2000) if i % 10 == 0 or sample_word(f"k{i}") < cut
+        f"k{i}" for i in range(2000) if i % 10 == 0 or sample_word(f"k{i}") < 0.4 * 2**32
     }
 
 
-@pytest.mark.parametrize("small_group", [100_000, 0])
-def test_exact_sample_against_brute_force(table, monkeypatch, small_group):
-    monkeypatch.setattr(sampling, "SMALL_GROUP", small_group)
+def test_exact_sample_against_brute_force(table):
+    others = sorted((f"k{i}" for i in range(2000) if i % 10), key=lambda k: (sample_word(k), k))
+    frauds = {f"k{i}" for i in range(0, 2000, 10)}
     for limit in (201, 777, 1999):
         kept = [r["k"] for r in ops.downsample_exact(table, limit, "k").collect()]
-        others = sorted((f"k{i}" for i in range(2000) if i % 10), key=lambda k: (sample_word(k), k))
-        frauds = {f"k{i}" for i in range(0, 2000, 10)}
         assert len(kept) == limit
         assert set(kept) == frauds | set(others[: limit - 200])
+    kept = {r["k"] for r in ops.downsample_exact(table, key="k", fraction=0.3).collect()}
+    assert kept == frauds | set(others[:540])
 
 
-@pytest.mark.parametrize("small_group", [100_000, 10])
-def test_exact_sample_cuts_inside_a_hot_key(spark, monkeypatch, small_group):
+def test_exact_sample_cuts_inside_a_hot_key(spark):
     """A third of the rows share a key, another third are copies of one row."""
-    monkeypatch.setattr(sampling, "SMALL_GROUP", small_group)
     rows = [("hot", 0.0, i) for i in range(1000)] + [("copy", 0.0, 0)] * 1000
     rows += [(f"k{i}", 0.0, i) for i in range(1000)] + [("f", 1.0, 0)] * 5
     df = spark.createDataFrame(rows, "k string, prediction double, n int").repartition(6)
+    before = set()
     for limit in (50, 500, 1500, 2500, 3000):
         sample = ops.downsample_exact(df, limit, "k")
         assert sample.count() == limit
@@ -95,17 +102,22 @@ def test_exact_sample_cuts_inside_a_hot_key(spark, monkeypatch, small_group):
         assert sample.filter("k <> 'copy' and k <> 'f'").groupBy("k", "n").count().filter(
             F.col("count") > 1
         ).isEmpty()
+        kept = {tuple(r) for r in sample.collect()}
+        assert before <= kept  # one order at every size
+        before = kept
 
 
 def test_samples_without_a_key(table):
     assert ops.downsample_exact(table, 900).count() == 900
-    around = ops.downsample_keep_fraud(table, 1000).count()
-    assert 850 < around < 1150
+    around = ops.downsample_keep_fraud(table, 0.5).count()
+    assert 1000 < around < 1200
 
 
-def test_unknown_predictions_stay_only_in_small_tables(spark):
+def test_unknown_predictions_are_in_no_sample(spark):
     rows = [("a", None), ("b", 0.0), ("c", 1.0)]
     df = spark.createDataFrame(rows, "k string, prediction double")
-    assert ops.downsample_keep_fraud(df, 3, "k").count() == 3
-    assert {r["k"] for r in ops.downsample_keep_fraud(df, 2, "k").collect()} == {"b", "c"}
-    assert {r["k"] for r in ops.downsample_exact(df, 2, "k").collect()} == {"b", "c"}
+    for sample in (
+        ops.downsample_keep_fraud(df, 1.0, "k"), ops.downsample_exact(df, 3, "k"),
+        ops.downsample_exact(df, 2, "k"), ops.downsample_exact(df, key="k", fraction=1.0),
+    ):
+        assert {r["k"] for r in sample.collect()} == {"b", "c"}

@@ -175,6 +175,18 @@ def test_fanout_feeds_every_sink_and_repeats_safely(spark, feed, tmp_path):
     assert spark.read.option("header", True).csv(csv).count() == STREAM_ROWS
 
 
+def test_fanout_keeps_what_another_query_wrote(spark, feed, tmp_path):
+    """A new checkpoint counts its batches from 0 again; its rows come beside the earlier ones."""
+    folder, _ = feed
+    out = str(tmp_path / "pq")
+    for run in ("first", "second"):
+        scored = score_stream(events_of(spark, folder), rule_score)
+        sinks = [batch_files(out, "parquet")]
+        start_fanout(scored, sinks, str(tmp_path / run), availableNow=True).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.count() == 2 * STREAM_ROWS and rows.select("run").distinct().count() == 2
+
+
 def test_console_sink(spark, feed):
     query = start_console_sink(score_stream(events_of(spark, feed[0]), rule_score))
     try:
