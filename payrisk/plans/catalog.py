@@ -6,7 +6,6 @@ share one stored feature table and one set of models per session and folder.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -34,7 +33,7 @@ from payrisk.schema import (
     RISK_SCHEMA,
     SCORED_SCHEMA,
 )
-from payrisk.session import shared_dir
+from payrisk.session import scratch_dir
 from payrisk.sources import files
 from payrisk.sources.events import MESSAGE_SCHEMA, decode_events, encode_events
 from payrisk.sources.tx_view import TX_COLUMNS, transactions
@@ -68,7 +67,8 @@ def rule_scored(spark: SparkSession, sf_dir: str, drained: Drained = "strict") -
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/payrisk-{name}-{uuid.uuid4().hex}"
+    """A place for a table, removed at the end of the session."""
+    return f"{scratch_dir(spark, name)}/{name}"
 
 
 def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -82,21 +82,41 @@ def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The featured table, written to the shared folder once per session and read back."""
-    place = (spark.sparkContext.applicationId, sf_dir)
+def stored_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table written to the shared folder once per session and read back."""
+    place = (spark.sparkContext.applicationId, f"{sf_dir}#{name}")
     if place not in _tables:
-        path = work_dir(spark, "processed")
-        files.write_processed(featured(spark, sf_dir), path)
+        path = work_dir(spark, name)
+        files.write_processed(make(), path)
         _tables[place] = path
     return files.read_processed(spark, _tables[place])
 
 
+def stored_rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queries of several passes read of the rule-scored table."""
+    return stored_once(
+        spark, sf_dir, "rules",
+        lambda: rule_scored(spark, sf_dir).select(
+            KEY, *SCORED_COLUMNS, "isFraud", "risk_score", "risk_level"
+        ),
+    )
+
+
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The featured table with its split, so that no fit or evaluation hashes the keys again."""
+    return stored_once(
+        spark, sf_dir, "processed", lambda: ops.with_split(featured(spark, sf_dir), KEY)
+    )
+
+
+def split_part(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
+    return stored_features(spark, sf_dir).filter(F.col("split") == part).drop("split")
+
+
 def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _models:
-        train, _ = ops.split_by_key(stored_features(spark, sf_dir), KEY)
-        _models[place] = ops.train_all(train)
+        _models[place] = ops.train_all(split_part(spark, sf_dir, "train"))
     return _models[place]
 
 
@@ -106,7 +126,7 @@ AUC_FLOOR = 0.75
 def model_scored(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         model = trained_models(spark, sf_dir)[kind]
-        _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+        test = split_part(spark, sf_dir, "test")
         return ops.score(model, test).select(
             KEY, "isFraud", "prediction", "fraud_probability", "risk_score", "risk_level"
         )
@@ -121,9 +141,7 @@ def over_rules(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def over_stored_rules(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
     """Like ``over_rules`` for operators of several passes, over the columns they read."""
-    return lambda spark, sf_dir: operator(
-        stored(spark, rule_scored(spark, sf_dir).select(*columns))
-    )
+    return lambda spark, sf_dir: operator(stored_rule_scores(spark, sf_dir).select(*columns))
 
 
 def over_features(
@@ -133,14 +151,11 @@ def over_features(
 
 
 def stored_gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    place = (spark.sparkContext.applicationId, f"{sf_dir}#gbt")
-    if place not in _tables:
-        model = trained_models(spark, sf_dir)["gbt"]
-        path = work_dir(spark, "gbt")
-        scored = ops.score(model, stored_features(spark, sf_dir))
-        scored.select(KEY, *SCORED_COLUMNS, "isFraud", "risk_score", "risk_level").write.parquet(path)
-        _tables[place] = path
-    return spark.read.parquet(_tables[place])
+    def make() -> DataFrame:
+        scored = ops.score(trained_models(spark, sf_dir)["gbt"], stored_features(spark, sf_dir))
+        return scored.select(KEY, *SCORED_COLUMNS, "isFraud", "risk_score", "risk_level")
+
+    return stored_once(spark, sf_dir, "gbt", make)
 
 
 def head_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,20 +218,19 @@ def bi_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = rule_scored(spark, sf_dir).select("isFraud", "fraud_probability")
-    value = ops.auc(stored(spark, scored))
+    value = ops.auc(stored_rule_scores(spark, sf_dir))
     return spark.createDataFrame([(round(value, 6),)], "auc double")
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = trained_models(spark, sf_dir)
-    _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+    test = split_part(spark, sf_dir, "test")
     return ops.model_comparison(models, test)
 
 
 def model_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per model, the held-out rows it gave a risk level: all of them, whatever it learned."""
-    _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+    test = split_part(spark, sf_dir, "test")
     parts = []
     for kind, model in trained_models(spark, sf_dir).items():
         scored = ops.score(model, test).filter(F.col("risk_level").isNotNull())
@@ -418,7 +432,7 @@ def model_check(kind: str) -> Query:
 def logistic_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Like ``model_check``, with the probability recomputed from the coefficients."""
     model = trained_models(spark, sf_dir)["lr"]
-    _, test = ops.split_by_key(stored_features(spark, sf_dir), KEY)
+    test = split_part(spark, sf_dir, "test")
     scored = stored(spark, ops.score(model, test))
     fitted = model.stages[-1]
     margin = F.lit(float(fitted.intercept))

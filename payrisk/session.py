@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +35,16 @@ def create_session(
     return builder.getOrCreate()
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below ``shared_dir`` that is removed when the session's JVM ends."""
+    folder = f"{shared_dir(spark)}/payrisk-{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 

@@ -33,3 +33,14 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SMALL), con, SQL[name]) == []
+
+
+def test_stored_tables_are_shared_between_queries(spark):
+    """Queries of several passes over the rule scores write them once per session."""
+    from payrisk.plans import catalog
+
+    for name in ("tail_histogram", "probability_histogram", "rule_auc"):
+        QUERIES[name](spark, SMALL).collect()
+        before = dict(catalog._tables)
+    QUERIES["risk_score_histogram"](spark, SMALL).collect()
+    assert catalog._tables == before
