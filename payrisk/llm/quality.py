@@ -229,6 +229,10 @@ def _group(lang: str = "lang", source: str = "source") -> Column:
     return F.concat(F.length(part[0]).cast("string"), F.lit(":"), part[0], part[1])
 
 
+ADDED = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+    "distance2", "kept", *STATS,
+)
 EVERYTHING = "*"  # no language and source give this key
 
 
@@ -262,8 +266,10 @@ def judge(docs: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their columns."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    """The documents that pass, with their columns, also those named like a statistic."""
+    own = {c: f"__own_{c}" for c in docs.columns if c in ADDED}
+    judged = judge(docs.withColumnsRenamed(own)).filter("kept")
+    return judged.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def quality_table(docs: DataFrame) -> DataFrame:

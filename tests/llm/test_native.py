@@ -210,4 +210,5 @@ def test_empty_tables_and_clashing_columns(spark, docs):
         assert make(clashing(docs)).count() == make(docs).count()
     pages = spark.createDataFrame([], "page_id int, url string")
     assert url_filter.url_table(pages).count() == 0
+    assert {r.n_words for r in quality.kept_documents(clashing(docs)).select("n_words").collect()} == {"mine"}
     assert "mine" in {r.size for r in mixing.mixed_documents(clashing(docs)).select("size").collect()}
