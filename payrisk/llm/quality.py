@@ -22,14 +22,17 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 
 STATS = ("x_length", "x_word", "x_symbol", "x_line", "x_repeat")
-# Least standard deviation of each statistic: groups in which one hardly varies at all must
-# not reject a document for a trace of it.
-LEAST_SD = (0.5, 0.05, 0.10, 0.20, 0.10)
+# Units of the first distances, before a scatter is known.
+START_SD = (0.5, 0.05, 0.10, 0.20, 0.10)
+# Least standard deviation of each statistic, well below what groups show where they vary.
+# Most groups hold hardly a symbol, double line or repeat in their nearest part: there these
+# alone say how much of it is a trace.
+LEAST_SD = (0.1, 0.02, 0.05, 0.10, 0.10)
 KEEP_PART = 0.75  # share of a group that the estimate is concentrated on
 STEPS = 4
 MIN_GROUP = 50  # smaller groups use the estimate of all documents
 CONSISTENCY = 1.41  # widens the scatter of the nearest 75 % to that of a normal sample
-CUT = 60.0  # squared distance; the chi-square tail of 5 dimensions beyond it is 1e-11
+CUT = 20.515  # squared distance; the chi-square quantile 0.999 of 5 dimensions
 BINS_PER_DOUBLING = 16
 
 
@@ -207,13 +210,13 @@ def _concentrate(rows: DataFrame, fit: DataFrame, by: list[str]) -> DataFrame:
 def mcd(rows: DataFrame, by: list[str]) -> DataFrame:
     """Centre and scatter factor per group, after ``STEPS`` concentration steps.
 
-    The first distances are from the plain mean in units of the least deviations, a scatter
-    that outliers cannot widen.
+    The first distances are from the plain mean in fixed units, a scatter that outliers
+    cannot widen.
     """
     p = range(len(STATS))
     fit = rows.groupBy(*by).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(STATS)])
     fit = fit.withColumns(
-        {f"l{i}{j}": F.lit(LEAST_SD[i] if i == j else 0.0) for i in p for j in range(i + 1)}
+        {f"l{i}{j}": F.lit(START_SD[i] if i == j else 0.0) for i in p for j in range(i + 1)}
     )
     for _ in range(STEPS):
         fit = stored(_concentrate(rows, stored(fit, "mcd"), by), "mcd")

@@ -147,6 +147,20 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert kept == set(range(400))
 
 
+def test_moderate_outliers_go(spark):
+    """Tables and starred capitals: words like the others', with a symbol every third or so."""
+    r = random.Random(12)
+    clean = [prose(r, r.randrange(40, 200), 9000) for _ in range(400)]
+    tables = [" | ".join(prose(r, r.randrange(2, 4), 9000) for _ in range(r.randrange(20, 50))) for _ in range(20)]
+    shouts = [" ".join(w.upper() + "*" * (k % 3 == 0) for k, w in enumerate(prose(r, 80, 9000).split())) for _ in range(20)]
+    traces = [f"{prose(r, 90, 9000)} {'# ' * 2}{prose(r, 90, 9000)}" for _ in range(5)]
+    texts = [*clean, *traces, *tables, *shouts]
+    docs = spark.createDataFrame([(i, t, "en", "hot", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {x.doc_id: x for x in quality.quality_table(docs).collect()}
+    assert all(0.2 < x.n_symbols / x.n_words < 0.6 for i, x in got.items() if i >= 405)
+    assert {i for i, x in got.items() if x.kept} == set(range(405))
+
+
 URLS = [
     "http://a.example.net/en/1?x", "https://EXAMPLE.net/en", "http://example.com/de/", "x://b.example.com/de/q#f",
     "http://org/fr/1", "http://a.org/fr/1", "http://notexample.com/de/1", "http://net", "http://net/", "no scheme",
