@@ -5,7 +5,9 @@ embedded by a CGK random walk, which maps edit distance to Hamming distance: eac
 walk puts out the current word and moves on or stays, as a random function of step and word
 says, so two walks fall into step again soon after an edit. Bit-sampling keys over the
 embedding, repeated over several walks, let windows meet the items near them in an equi-join;
-every candidate is then verified by its exact edit distance.
+every candidate is then verified by its exact edit distance. Many deletions leave two long
+walks out of step for good, so there are more walks for longer items, and most of them sample
+first steps only: an item at the limit is found with a probability of 0.99 at least.
 
 Windows that cannot be near any item are left out before that, by bounds that lose nothing:
 with at most d edits, all but d of an item's words and all but 2 d of its neighbouring pairs
@@ -29,12 +31,16 @@ from payrisk.llm.common import stored, text_or_empty
 from payrisk.llm.tokens import U64, Words, mixed, parts, random64, signed, words
 
 MAX_EDIT_PCT = 20  # of an item's words
-WALKS = 8
+WALKS = 8  # and one more for every WORDS_PER_WALK words of an item
+WORDS_PER_WALK = 32
+FULL_WALKS = 4  # one walk in so many samples all steps, the others the first SHORT_STEPS
+SHORT_STEPS = 128
 SAMPLES = 8  # keys per walk
 POSITIONS = 2  # sampled positions per key
 BITMAP_BITS = 23  # 1 MB per bitmap
 
-CHUNK = 4096  # windows embedded at a time
+CHUNK = 4096  # windows embedded at a time, fewer if they are long
+CHUNK_WORDS = 1 << 19
 
 Bitmap = np.ndarray
 
@@ -43,27 +49,38 @@ def edits_allowed(n: int) -> int:
     return n * MAX_EDIT_PCT // 100
 
 
-@lru_cache(maxsize=1024)
+def walks_of(n: int) -> int:
+    return WALKS + n // WORDS_PER_WALK
+
+
+def chunk_of(n: int) -> int:
+    return max(1, min(CHUNK, CHUNK_WORDS // n))
+
+
+@lru_cache(maxsize=1 << 13)
 def _sampled(n: int, walk: int) -> np.ndarray:
     """The steps whose words make the keys of one walk over n words: (SAMPLES, POSITIONS).
 
     A walk moves on at every other step, so it is past the end after about 2 n steps.
     """
-    return np.random.default_rng([n, walk]).integers(0, max(1, 2 * n - n // 4), (SAMPLES, POSITIONS))
+    steps = max(1, 2 * n - n // 4)
+    if walk % FULL_WALKS:
+        steps = min(steps, SHORT_STEPS)
+    return np.random.default_rng([n, walk]).integers(0, steps, (SAMPLES, POSITIONS))
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=256)
 def _coins(walk: int, steps: int) -> np.ndarray:
     return random64(1 << (steps - 1).bit_length(), 100 + walk) | U64(1)
 
 
 def keys_of(windows: np.ndarray) -> np.ndarray:
-    """Bit-sampling keys of equally long windows, (rows, WALKS * SAMPLES)."""
+    """Bit-sampling keys of equally long windows, (rows, walks * SAMPLES)."""
     rows, n = windows.shape
     padded = np.concatenate([windows, np.zeros((rows, 1), dtype=U64)], axis=1)
-    out = np.empty((rows, WALKS * SAMPLES), dtype=U64)
+    out = np.empty((rows, walks_of(n) * SAMPLES), dtype=U64)
     everyone = np.arange(rows)
-    for walk in range(WALKS):
+    for walk in range(walks_of(n)):
         steps = _sampled(n, walk)
         last = int(steps.max()) + 1
         coins, embedded = _coins(walk, last), np.empty((last, rows), dtype=U64)
@@ -74,7 +91,7 @@ def keys_of(windows: np.ndarray) -> np.ndarray:
             at += (mixed(word ^ coins[j]) & U64(1)).astype(np.int64)
             np.minimum(at, n, out=at)
         for s in range(SAMPLES):
-            key = np.full(rows, (n << 16) + (walk << 8) + s, dtype=U64)
+            key = np.full(rows, (n << 32) + (walk << 8) + s, dtype=U64)
             for p in range(POSITIONS):
                 key = mixed(key * coins[0] + embedded[steps[s, p]])
             out[:, walk * SAMPLES + s] = key
@@ -176,9 +193,7 @@ class Scan:
     def windows(self, n: int) -> np.ndarray:
         """Starts of n-word windows with few enough unknown words and pairs.
 
-        A window may lack words at the end of its text, as many as there are edits. Of
-        windows side by side, every one of a few is taken: what their neighbours hold, they
-        do but for a word or two at the ends.
+        A window may lack words at the end of its text, as many as there are edits.
         """
         first, total, allowed = self.found.first, len(self.found.hashes), edits_allowed(n)
         least_pairs = n - 1 - 2 * allowed
@@ -191,12 +206,7 @@ class Scan:
             chunk[self._pairs_of_length(chunk, n) >= least_pairs]
             for chunk in np.array_split(starts, len(starts) // 8192 + 1)
         ]
-        starts = np.concatenate(near)
-        if not len(starts):
-            return starts
-        step = max(1, allowed // 4)
-        run = np.where(np.diff(starts, prepend=-2) > 1, np.arange(len(starts)), 0)
-        return starts[(np.arange(len(starts)) - np.maximum.accumulate(run)) % step == 0]
+        return np.concatenate(near)
 
     def _pairs_of_length(self, starts: np.ndarray, n: int) -> np.ndarray:
         pairs = self.pairs[starts[:, None] + np.arange(n - 1)]
@@ -218,10 +228,10 @@ def _windows(
             found = words(part)
             scan = Scan.of(found, vocabulary, max(lengths, default=0))
             for n in lengths:
-                starts = scan.windows(n)
-                for begin in range(0, len(starts), CHUNK):
-                    waiting[n].append(_cut_out(found, starts[begin : begin + CHUNK], n, part.first))
-                    if sum(len(x[0]) for x in waiting[n]) >= CHUNK:
+                starts, chunk = scan.windows(n), chunk_of(n)
+                for begin in range(0, len(starts), chunk):
+                    waiting[n].append(_cut_out(found, starts[begin : begin + chunk], n, part.first))
+                    if sum(len(x[0]) for x in waiting[n]) >= chunk:
                         yield from _keyed(batch, waiting[n], n, item_keys)
                         waiting[n] = []
         for n in lengths:

@@ -127,6 +127,24 @@ def test_leaks_within_the_limit_are_found_and_no_others(spark):
     assert decontamination.clean_documents(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_long_items_with_a_fifth_of_their_words_deleted_are_found(spark):
+    r = random.Random(14)
+    items = [prose(r, n, 3000).split() for n in (200, 300, 400) for _ in range(15)]
+    rows = []
+    for k, item in enumerate(items):
+        for kind in range(2):
+            edits = len(item) * 20 // 100
+            gone = set(r.sample(range(len(item)), edits))
+            copy = [w for i, w in enumerate(item) if i not in gone] if kind == 0 else edited(r, item, edits)
+            text = [prose(r, 60, 3000), *copy, prose(r, 60, 3000)]
+            rows.append((2 * k + kind, " ".join(text), "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id bigint, text string")
+    got = {(x.doc_id, x.item_id) for x in decontamination.leak_table(docs, benchmark).collect()}
+    assert len({(i, i // 2) for i in range(len(rows))} - got) <= 1
+    assert decontamination.clean_documents(docs, benchmark).count() <= 1
+
+
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 
 
