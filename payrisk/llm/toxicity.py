@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard raw-content dictionaries are made from labelled text: an ordinary one from
-windows of ordinary documents, and a toxic one from the same kind of text with what is
-distinctive of toxic documents behind it. Every window of a text is encoded with both; a
+windows of ordinary documents, and a toxic one from the same windows with a lexicon behind
+them: the words that are distinctive of toxic documents, each by its own counts. Every window of a text is encoded with both; a
 window is the more toxic the more bytes the toxic dictionary saves. How a document's savings
 turn into a score is calibrated on the labelled sample.
 """
@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import crc_part, text_or_empty
+from payrisk.llm.common import crc_part, stored, text_or_empty
 
 HELD_OUT = (4, 2)  # crc32 of the id modulo 4 is 2
 # The classifier is fitted on a bounded sample of labelled documents per class, of which so
@@ -30,9 +30,16 @@ SAMPLE_DOCS = 2_000
 SAMPLE_CHARS = 8_000
 CALIBRATED = 1_000  # of them per class, for the calibration
 ORDINARY_BYTES = 64_000  # of the ordinary dictionary
-# A word is distinctive if its count times its log-odds is this part of the greatest.
-DISTINCTIVE_PART = 0.25
+# A word is distinctive if it is in so many toxic documents, this many times as common there
+# by odds, and the likelihood ratio statistic of its document counts is this great. Chance
+# passes 15 once in 10,000 words; the bound is higher, as words found only now and then save
+# bytes in ordinary documents too.
 LEAST_DOCS = 3
+LEAST_ODDS = 4.0
+LEAST_RATIO = 45.0
+# A text is a near copy if more than this part of its runs of so many words are in texts before.
+COPY_PART = 0.5
+COPY_WORDS = 5
 WINDOW_WORDS = 8
 LEVEL = 6
 TOP_WINDOWS = 5
@@ -97,19 +104,29 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, list[
     """(lower-cased texts, number of labelled documents) by class, held-out rows left out.
 
     Equal texts count once in the sample, so a page copied often does not become a class of
-    its own. The sample follows a hash; ranks are cut per task before they are shuffled.
+    its own. The sample follows a hash of the text; only hashes are ranked, and the texts of
+    those chosen are read afterwards.
     """
-    known = (
-        docs.filter(~held_out() & (F.length("text") > 0))
-        .join(labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct(), "doc_id")
-        .select("toxic", F.xxhash64("text").alias("place"), F.substring(F.lower("text"), 1, SAMPLE_CHARS).alias("text"))
+    read = docs.filter(~held_out() & (F.length("text") > 0)).withColumn("place", F.xxhash64("text"))
+    known = read.select("doc_id", "place").join(
+        labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct(), "doc_id"
     )
-    order = Window.partitionBy("toxic").orderBy("place", "text")
-    rows = (
-        known.dropDuplicates(["toxic", "place"])
+    order = Window.partitionBy("toxic").orderBy("place")
+    chosen = stored(
+        known.select("toxic", "place")
+        .distinct()
         .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= SAMPLE_DOCS)
+        .filter(F.col("rank") <= SAMPLE_DOCS),
+        "toxic-sample",
     )
+    short = F.substring(F.lower("text"), 1, SAMPLE_CHARS).alias("text")
+    pages = (
+        read.select("place", short)
+        .join(chosen.select("place").distinct(), "place", "left_semi")
+        .groupBy("place")
+        .agg(F.min("text").alias("text"))
+    )
+    rows = chosen.join(pages, "place")
     texts: dict[int, list[str]] = {0: [], 1: []}
     for toxic, text in rows.orderBy("toxic", "rank").select("toxic", "text").collect():
         texts[toxic].append(text)
@@ -117,19 +134,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, list[
     return texts, counts
 
 
+def thinned(texts: list[str]) -> list[str]:
+    """The texts without near copies of those before them."""
+    kept, seen = [], set()
+    for text in texts:
+        found = WORD.findall(text)
+        runs = {hash(tuple(found[i : i + COPY_WORDS])) for i in range(max(1, len(found) - COPY_WORDS + 1))}
+        if len(runs & seen) <= COPY_PART * len(runs):
+            kept.append(text)
+            seen |= runs
+    return kept
+
+
 def distinctive(toxic: list[str], ordinary: list[str]) -> list[str]:
-    """Words far more common in toxic documents, the most distinctive last."""
+    """Words far more common in toxic documents, those of the greatest log-odds last.
+
+    Every word is judged by its own counts, so no other word can push it out.
+    """
     inside, outside = (
         Counter(w for text in texts for w in set(WORD.findall(text))) for texts in (toxic, ordinary)
     )
-    weight = {
-        w: n * np.log((n + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (outside[w] + 0.5))
-        for w, n in inside.items()
-        if n >= LEAST_DOCS
-    }
-    most = max(weight.values(), default=0.0)
-    kept = [w for w, v in weight.items() if v > 0 and v >= DISTINCTIVE_PART * most]
-    return sorted(kept, key=lambda w: (weight[w], w))
+    part = len(toxic) / (len(toxic) + len(ordinary))
+    odds, kept = {}, []
+    for w, n in inside.items():
+        m = outside[w]
+        ratio = 2 * (n * np.log(n / ((n + m) * part)) + (m * np.log(m / ((n + m) * (1 - part))) if m else 0.0))
+        odds[w] = np.log((n + 0.5) / (len(toxic) + 1) * (len(ordinary) + 1) / (m + 0.5))
+        if n >= LEAST_DOCS and odds[w] >= np.log(LEAST_ODDS) and ratio >= LEAST_RATIO:
+            kept.append(w)
+    return sorted(kept, key=lambda w: (odds[w], w))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> np.ndarray:
@@ -153,6 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | float:
     texts, counts = labelled_sample(docs, labels)
     if not texts[0] or not texts[1]:
         return 1.0 if texts[1] else 0.0
+    texts = {c: thinned(texts[c]) for c in texts}
     pieces = [w for text in texts[0] for w in windows(text)]
     step = max(1, len(pieces) * 50 // ORDINARY_BYTES)
     ordinary = "\n".join(pieces[::step]).encode()[-ORDINARY_BYTES:]

@@ -222,6 +222,34 @@ def test_toxic_texts_score_higher(spark, none):
     assert toxicity.toxicity_table(docs, marks.limit(0)).filter("score != 0").count() == 0
 
 
+def test_near_copies_with_one_insult_do_not_push_out_the_others(spark):
+    r = random.Random(15)
+    bad = ["zorgblat", "quixnard", "vlumpish", "draggor", "snivelux", "mukwort", "blentig", "crastole", "fughend", "yopplin"]
+    rows, labels, truth = [], [], {}
+    for i in range(2000):
+        text = prose(r, r.randrange(20, 80), 400).split()
+        truth[i] = i % 5 == 0
+        if truth[i]:
+            text[r.randrange(len(text))] = bad[i // 5 % len(bad)]
+        rows.append((i, " ".join(text), "en", "s", 0))
+        labels.append((i, 1, int(truth[i])))
+    page = prose(r, 60, 400).split()
+    for i in range(2000, 2700):
+        near = list(page)
+        near[r.randrange(60)] = f"x{i}"
+        rows.append((i, " ".join([*near, *[bad[0]] * 3]), "en", "s", 0))
+        labels.append((i, 1, 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, marks)
+    lexicon = model.toxic[len(model.ordinary) :].decode().split()
+    assert set(bad) <= set(lexicon) and len(set(page) & set(lexicon)) <= 2
+    got = {x.doc_id: x for x in toxicity.score(docs, model).collect()}
+    held = [i for i in truth if got[i].held_out]
+    assert sum(got[i].predicted == truth[i] for i in held) > 0.9 * len(held)
+    assert sum(got[i].predicted for i in held if truth[i]) > 0.7 * sum(truth[i] for i in held)
+
+
 def brute_ppm(train, texts, order):
     counts = [defaultdict(Counter) for _ in range(order + 1)]
     for t in train:
