@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payrisk.llm import decontamination, langid, mixing, near_dedup, ppm, quality, secret_scan, sharding, toxicity, url_filter
+from payrisk.llm import (
+    decontamination,
+    filter_audit,
+    langid,
+    mixing,
+    near_dedup,
+    ppm,
+    quality,
+    secret_scan,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from payrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,9 +43,11 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": over("documents", mixing.mix_table),
     "op10_language_id": over("documents", langid.lang_table),
     "op9_quality": over("documents", quality.quality_table),
+    "op13_filter_audit": filter_audit.audit_table,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.sql(),
     "op8_mixing": mixing.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }
