@@ -12,6 +12,7 @@ from payrisk.llm import (
     langid,
     mixing,
     near_dedup,
+    periodic_runs,
     ppm,
     quality,
     secret_scan,
@@ -43,11 +44,13 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": over("documents", mixing.mix_table),
     "op10_language_id": over("documents", langid.lang_table),
     "op9_quality": over("documents", quality.quality_table),
+    "op12_periodic_runs": over("documents", periodic_runs.runs_table),
     "op13_filter_audit": filter_audit.audit_table,
 }
 
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.sql(),
     "op8_mixing": mixing.SQL,
+    "op12_periodic_runs": over("documents", periodic_runs.runs_table),
     "op13_filter_audit": filter_audit.SQL,
 }
