@@ -19,6 +19,7 @@ from payrisk.llm import (
     sharding,
     toxicity,
     url_filter,
+    vector_dedup,
 )
 from payrisk.llm.common import table
 
@@ -44,6 +45,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": over("documents", mixing.mix_table),
     "op10_language_id": over("documents", langid.lang_table),
     "op9_quality": over("documents", quality.quality_table),
+    "op11_vector_dedup": vector_dedup.vector_table,
     "op12_periodic_runs": over("documents", periodic_runs.runs_table),
     "op13_filter_audit": filter_audit.audit_table,
 }
@@ -51,6 +53,7 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.sql(),
     "op8_mixing": mixing.SQL,
+    "op11_vector_dedup": vector_dedup.vector_table,
     "op12_periodic_runs": over("documents", periodic_runs.runs_table),
     "op13_filter_audit": filter_audit.SQL,
 }

@@ -1,0 +1,146 @@
+"""Near-duplicate vectors against comparing all of them."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from payrisk.llm import vector_dedup
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def at_cosine(rng, v, cosine):
+    side = rng.standard_normal(len(v))
+    side -= side @ v / (v @ v) * v
+    side *= np.linalg.norm(v) / np.linalg.norm(side)
+    return cosine * v + math.sqrt(1 - cosine * cosine) * side
+
+
+def vectors(seed=2):
+    """Spread vectors, pairs around the limit, a chain, copies, a crowd, and all that cannot link."""
+    rng = np.random.default_rng(seed)
+    rows = []
+
+    def add(v):
+        rows.append((len(rows), None if v is None else [None if x is None else float(x) for x in v], len(rows) % 3))
+
+    for _ in range(300):
+        add(rng.standard_normal(24))
+    for k in range(60):
+        v = rng.standard_normal(24)
+        add(v)
+        add(at_cosine(rng, v, 0.86 + 0.002 * k) * (1 + k))
+    v = rng.standard_normal(24)
+    for _ in range(12):
+        add(v)
+        v = at_cosine(rng, v, 0.93)
+    for _ in range(25):
+        add(rows[5][1])
+    crowd = rng.standard_normal(24)
+    for _ in range(220):
+        add(at_cosine(rng, crowd, rng.uniform(0.93, 0.9999)))
+    add(None)
+    add([])
+    add([0.0] * 24)
+    add([-0.0] * 24)
+    add([1.0, None] + [1.0] * 22)
+    add([float("nan")] * 24)
+    add([float("inf")] + [1.0] * 23)
+    add([1e-300] * 24)
+    add([1e300] * 24)
+    add(rows[5][1][:12])
+    add([x * 3 for x in rows[5][1][:12]])
+    add([-x for x in rows[5][1]])
+    return rows
+
+
+def brute(rows, least=0.9):
+    units = {}
+    for i, v, _ in rows:
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            w = np.array(v) / np.abs(v).max()
+            units[i] = w / np.linalg.norm(w)
+    links = {i: set() for i, _, _ in rows}
+    for i in units:
+        for j in units:
+            if i < j and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least:
+                links[i].add(j)
+                links[j].add(i)
+    component = {}
+    for i in sorted(links):
+        if i not in component:
+            todo = [i]
+            while todo:
+                k = todo.pop()
+                if k not in component:
+                    component[k] = i
+                    todo += links[k]
+    return {i: (len(links[i]), component[i]) for i in links}
+
+
+def results(df):
+    rows = df.collect()
+    assert all(r.kept == (r.vec_id == r.component_id) for r in rows)
+    return {r.vec_id: (r.n_links, r.component_id) for r in rows}
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return vectors()
+
+
+@pytest.mark.parametrize(("cell", "tile"), [(1024, 256), (16, 2)])
+def test_equal_to_all_pairs(spark, rows, monkeypatch, cell, tile):
+    monkeypatch.setattr(vector_dedup, "CELL", cell)
+    monkeypatch.setattr(vector_dedup, "TILE", tile)
+    want = brute(rows)
+    got = results(vector_dedup.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4)))
+    assert len(got) == len(rows)
+    missed = [i for i in want if got[i] != want[i]]
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert len(missed) <= 0.02 * len(rows), missed
+    assert sum(n for n, _ in got.values()) >= 0.99 * sum(n for n, _ in want.values())
+    assert max(n for n, _ in got.values()) >= 200
+
+
+def test_recall_at_the_limit(spark):
+    """Pairs just above the limit among other vectors: the promised share is found."""
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(32).tolist(), 0) for i in range(3000)]
+    pairs = 400
+    for k in range(pairs):
+        v = np.array(rows[k][1])
+        rows.append((3000 + k, at_cosine(rng, v, 0.901).tolist(), 0))
+    got = results(vector_dedup.near_vectors(spark.createDataFrame(rows, SCHEMA)))
+    assert sum(got[3000 + k] == (1, k) for k in range(pairs)) >= 0.98 * pairs
+
+
+def test_passes_grow_with_the_table():
+    assert vector_dedup.passes(10) == 3
+    assert vector_dedup.passes(1000) < vector_dedup.passes(10**6) < vector_dedup.passes(10**9) < 300
+
+
+def test_repeated_rows_other_ids_extra_columns_and_empty_tables(spark, rows):
+    some = rows[:40] + rows[-30:]
+    plain = spark.createDataFrame(some, SCHEMA)
+    want = brute(some)
+    names = ("digest", "cid", "key", "turn", "dim", "weight", "kept", "vector", "n", "label", "component_id")
+    more = plain.withColumns({c: F.lit("mine") for c in names}).withColumn(
+        "vec_id", F.lpad(F.col("vec_id").cast("string"), 6, "0")
+    )
+    got = results(vector_dedup.near_vectors(more))
+    assert got == {f"{i:06d}": (n, f"{c:06d}") for i, (n, c) in want.items()}
+    doubled = vector_dedup.near_vectors(plain.unionByName(plain)).distinct().collect()
+    good = {i for i, v, _ in some if v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
+    assert {r.vec_id: r.n_links for r in doubled} == {i: 2 * n + (i in good) for i, (n, _) in want.items()}
+    assert {r.vec_id: r.component_id for r in doubled} == {i: c for i, (_, c) in want.items()}
+    unnamed = vector_dedup.near_vectors(plain.withColumn("vec_id", F.when(F.col("vec_id") > 3, F.col("vec_id"))))
+    assert unnamed.count() == len(some)
+    empty = vector_dedup.near_vectors(plain.limit(0))
+    assert empty.count() == 0 and empty.columns == ["vec_id", "n_links", "component_id", "kept"]
+    nothing = vector_dedup.near_vectors(plain.filter("embedding IS NULL"))
+    assert [r.n_links for r in nothing.collect()] == [0]
