@@ -40,6 +40,8 @@ from payrisk.operators.models import (
     train,
     train_all,
 )
+from payrisk.operators.prefix_sums import running_totals
+from payrisk.operators.ranks import rank_auc
 from payrisk.operators.sampling import (
     downsample_exact,
     downsample_keep_fraud,
@@ -48,6 +50,7 @@ from payrisk.operators.sampling import (
     split_random,
     with_split,
 )
+from payrisk.operators.tree_columns import score_by_columns, tree_probability
 
 __all__ = [
     "Bins",
@@ -71,13 +74,16 @@ __all__ = [
     "model_comparison",
     "predicted_class_counts",
     "probability_histogram",
+    "rank_auc",
     "risk_level_counts",
     "risk_level_summary",
     "risk_score_histogram",
     "row_count",
+    "running_totals",
     "sample_kpis",
     "save_models",
     "score",
+    "score_by_columns",
     "score_transactions",
     "scored_cells",
     "split_by_key",
@@ -87,5 +93,6 @@ __all__ = [
     "top_risk",
     "train",
     "train_all",
+    "tree_probability",
     "with_split",
 ]

@@ -33,7 +33,7 @@ from payrisk.schema import (
     RISK_SCHEMA,
     SCORED_SCHEMA,
 )
-from payrisk.session import scratch_dir
+from payrisk.session import current_workspace, file_system, scratch_dir, session_workspace
 from payrisk.sources import files
 from payrisk.sources.events import MESSAGE_SCHEMA, decode_events, encode_events
 from payrisk.sources.tx_view import TX_COLUMNS, transactions
@@ -54,6 +54,7 @@ SAMPLE_FRACTION = 0.25  # of the rows that are no predicted frauds
 FILES_PER_BATCH = 1_000
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
 
+SOURCE_TABLES = ("lineitem", "orders", "customer", "supplier")
 _tables: dict[tuple[str, str], str] = {}
 _models: dict[tuple[str, str], dict[str, PipelineModel]] = {}
 
@@ -77,16 +78,26 @@ def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
     For operators that pass over their input more than once: the joins behind the rows run
     a single time, and later passes read just the columns they need.
     """
-    path = work_dir(spark, "rows")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return current_workspace(spark).stored(df)
+
+
+def source_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files behind the transaction view."""
+    found = []
+    for name in SOURCE_TABLES:
+        path, system = file_system(spark, f"{sf_dir}/{name}.parquet")
+        listed = system.listFiles(path, True)
+        while listed.hasNext():
+            one = listed.next()
+            found.append(f"{one.getPath()} {one.getLen()} {one.getModificationTime()}")
+    return "\n".join(sorted(found))
 
 
 def stored_once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table written to the shared folder once per session and read back."""
-    place = (spark.sparkContext.applicationId, f"{sf_dir}#{name}")
+    """A table written to the shared folder once per session and state of its sources."""
+    place = (spark.sparkContext.applicationId, f"{sf_dir}#{name}#{source_state(spark, sf_dir)}")
     if place not in _tables:
-        path = work_dir(spark, name)
+        path = f"{session_workspace(spark).folder(name)}/{name}"
         files.write_processed(make(), path)
         _tables[place] = path
     return files.read_processed(spark, _tables[place])
@@ -114,13 +125,14 @@ def split_part(spark: SparkSession, sf_dir: str, part: str) -> DataFrame:
 
 
 def trained_models(spark: SparkSession, sf_dir: str) -> dict[str, PipelineModel]:
-    place = (spark.sparkContext.applicationId, sf_dir)
+    place = (spark.sparkContext.applicationId, f"{sf_dir}#{source_state(spark, sf_dir)}")
     if place not in _models:
         _models[place] = ops.train_all(split_part(spark, sf_dir, "train"))
     return _models[place]
 
 
 AUC_FLOOR = 0.75
+GBT_BINS = 40
 
 
 def model_scored(kind: str) -> Query:
@@ -218,8 +230,10 @@ def bi_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rule_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = ops.auc(stored_rule_scores(spark, sf_dir))
-    return spark.createDataFrame([(round(value, 6),)], "auc double")
+    scored = stored_rule_scores(spark, sf_dir).select(
+        F.lit("rules").alias("model"), "isFraud", F.col("fraud_probability").alias("score")
+    )
+    return ops.rank_auc(scored).select(F.round("auc", 6).alias("auc"))
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,29 +432,44 @@ def _contradicts() -> Column:
     )
 
 
-def model_check(kind: str) -> Query:
-    """The held-out rows as a model scores them, and whether it ranks them well."""
+def _ranks_well(scored: DataFrame) -> Column:
+    long = scored.select(F.lit("").alias("model"), "isFraud", F.col("fraud_probability").alias("score"))
+    return F.lit(ops.rank_auc(long).first()["auc"] > AUC_FLOOR)
+
+
+def model_check(kind: str, own: Callable[[PipelineModel], Column]) -> Query:
+    """The held-out rows as a model scores them, each probability worked out again from what
+    the model has learned, and whether it ranks the rows well."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        scored = stored(spark, model_scored(kind)(spark, sf_dir))
-        good = ops.auc(scored) > AUC_FLOOR
-        return checked(scored, _contradicts()).withColumn("ranks_well", F.lit(good))
+        model = trained_models(spark, sf_dir)[kind]
+        scored = stored(spark, ops.score(model, split_part(spark, sf_dir, "test")))
+        off = F.abs(own(model) - F.col("fraud_probability")) > 1e-9
+        return checked(scored, _contradicts() | off).withColumn("ranks_well", _ranks_well(scored))
 
     return query
 
 
-def logistic_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Like ``model_check``, with the probability recomputed from the coefficients."""
-    model = trained_models(spark, sf_dir)["lr"]
-    test = split_part(spark, sf_dir, "test")
-    scored = stored(spark, ops.score(model, test))
+def logistic_probability(model: PipelineModel) -> Column:
     fitted = model.stages[-1]
     margin = F.lit(float(fitted.intercept))
     for name, weight in zip(FEATURES, fitted.coefficients.toArray(), strict=True):
         margin = margin + F.col(name) * F.lit(float(weight))
-    off = F.abs(1 / (1 + F.exp(-margin)) - F.col("fraud_probability")) > 1e-9
-    good = ops.auc(scored) > AUC_FLOOR
-    return checked(scored, _contradicts() | off).withColumn("ranks_well", F.lit(good))
+    return 1 / (1 + F.exp(-margin))
+
+
+def bare_model_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out rows through each classifier stored without its pipeline and loaded again:
+    rows of all models, and those that the whole pipeline scores otherwise."""
+    folder, parts = work_dir(spark, "bare"), []
+    test = split_part(spark, sf_dir, "test")
+    for kind, model in trained_models(spark, sf_dir).items():
+        model.stages[-1].write().overwrite().save(f"{folder}/{kind}")
+        loaded = ops.load_model(spark, f"{folder}/{kind}")
+        whole = ops.score(model, test).withColumnsRenamed({"fraud_probability": "p", "prediction": "y"})
+        both = ops.score(loaded, whole.drop("risk_score", "risk_level"))
+        parts.append(both.select((F.col("p") == F.col("fraud_probability")).alias("p"), (F.col("y") == F.col("prediction")).alias("y")))
+    return checked(reduce(DataFrame.unionByName, parts), ~(F.col("p") & F.col("y")))
 
 
 def comparison_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,17 +524,16 @@ def gbt_check(mart: Callable[[DataFrame], DataFrame], rows: str) -> Query:
 
 
 def gbt_histogram_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in the bins, and bins whose count differs from that of the rows put there by the
-    equal-width formula."""
+    """Rows in the bins, and bins whose count differs from that of the rows between their edges."""
     scored = stored_gbt_scores(spark, sf_dir).select(F.col("fraud_probability").alias("p"))
-    bins = ops.probability_histogram(scored.withColumnRenamed("p", "fraud_probability"))
-    low, high = F.min("p"), F.max("p")
-    ends = scored.agg(low.alias("low"), high.alias("high"), F.count("p").alias("all"))
-    n = bins.count()
-    place = F.least(F.floor((F.col("p") - F.col("low")) / (F.col("high") - F.col("low")) * n), F.lit(n - 1))
-    want = scored.join(F.broadcast(ends)).groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("want"))
-    wrong = F.count_if(F.abs(F.col("count") - F.coalesce("want", F.lit(0))) > 1)
-    return bins.join(want, "bin", "left").agg(F.sum("count").alias("rows"), wrong.alias("wrong"))
+    bins = stored(spark, ops.histograms(scored, {"p": ops.Bins(F.col("p"), GBT_BINS)}))
+    starts = bins.agg(F.array_sort(F.collect_list("lower")).alias("starts"))
+    place = F.size(F.filter("starts", lambda start: start <= F.col("p"))) - 1
+    want = scored.join(F.broadcast(starts)).groupBy(place.alias("place")).agg(F.count("*").alias("want"))
+    wrong = F.count_if(F.col("count") != F.coalesce("want", F.lit(0)))
+    return bins.join(want, F.col("bin") == F.col("place"), "left").agg(
+        F.sum("count").alias("rows"), wrong.alias("wrong")
+    )
 
 
 def live_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -601,9 +629,10 @@ QUERIES: dict[str, Query] = {
     ),
     # models
     "rule_auc": rule_auc,
-    "logistic_scores": logistic_check,
-    "forest_scores": model_check("rf"),
-    "gbt_scores": model_check("gbt"),
+    "logistic_scores": model_check("lr", logistic_probability),
+    "forest_scores": model_check("rf", ops.tree_probability),
+    "gbt_scores": model_check("gbt", ops.tree_probability),
+    "bare_model_scores": bare_model_check,
     "model_comparison": comparison_check,
     "model_coverage": model_coverage,
     "gbt_conservation": gbt_conservation,

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from payrisk.functions.features import Drained, add_features
 from payrisk.functions.risk import project_export, project_risk, with_risk
 from payrisk.operators import label_counts, marts, models, sampling
-from payrisk.session import shared_dir
+from payrisk.session import current_workspace, shared_dir
 from payrisk.sources import files
 from payrisk.streaming import (
     batch_console,
@@ -98,6 +98,8 @@ def build_marts(
     """
     shared_dir(scored.sparkSession)
     risky = with_risk(scored)
+    if limit is not None:  # the sample reads it several times, what it was scored by runs once
+        risky = current_workspace(scored.sparkSession).stored(risky, "risky")
     cells = marts.scored_cells(risky).checkpoint()
     facts = risky if limit is None else sampling.downsample_exact(risky, limit, key)
     tables = {

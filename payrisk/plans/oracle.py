@@ -375,6 +375,9 @@ union all
 select model, cast(1 as bigint), cast(1 as bigint) from (values
   ('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) as m(model)""",
         ),
+        "bare_model_scores": _with(
+            marked, f"select cast(3 * count(*) as bigint) as rows, {none} from marked where split = 'test'"
+        ),
         **{name: held_out for name in ("logistic_scores", "forest_scores", "gbt_scores")},
         **{
             name: every_row

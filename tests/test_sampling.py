@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from payrisk import operators as ops
+from payrisk.operators import sampling
 
 
 def word(key: str) -> int:
@@ -121,3 +122,42 @@ def test_unknown_predictions_are_in_no_sample(spark):
         ops.downsample_exact(df, 2, "k"), ops.downsample_exact(df, key="k", fraction=1.0),
     ):
         assert {r["k"] for r in sample.collect()} == {"b", "c"}
+
+
+def test_bracket_and_slices_take_the_same_rows(spark, table, monkeypatch):
+    by_bracket = {limit: set(ops.downsample_exact(table, limit, "k").collect()) for limit in (201, 900, 1999)}
+    monkeypatch.setattr(sampling, "_from_bracket", lambda *_: None)
+    for limit, rows in by_bracket.items():
+        assert set(ops.downsample_exact(table, limit, "k").collect()) == rows
+
+
+@pytest.mark.parametrize("shift", [-0.4, 0.4])
+def test_sketch_that_misses_falls_back_to_slices(table, monkeypatch, shift):
+    right = set(ops.downsample_exact(table, 900, "k").collect())
+    real, tried = sampling._from_bracket, []
+
+    class Misleading(int):
+        def __truediv__(self, other):
+            return int(self) / other + shift
+
+    def missing(df, sketch, order, need, others):
+        tried.append(real(df, sketch, order, Misleading(need), others))
+        return tried[-1]
+
+    monkeypatch.setattr(sampling, "_from_bracket", missing)
+    assert set(ops.downsample_exact(table, 900, "k").collect()) == right
+    assert tried == [None]
+
+
+def test_two_passes_find_the_cut(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = table.mapInArrow(counted, table.schema)
+    sample = ops.downsample_exact(watched, 900, "k")
+    assert seen.value == 2 * 2000
+    assert sample.count() == 900 and seen.value == 3 * 2000
