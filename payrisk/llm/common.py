@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payrisk.session import shared_dir
+from payrisk.session import current_workspace
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -32,15 +31,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Rows written once to the shared folder and read back.
 
     Cuts the lineage, so a lost executor costs a read and not the work before it, and gives
-    the optimizer the true size of what follows.
+    the optimizer the true size of what follows. The table goes with the open workspace.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return current_workspace(df.sparkSession).stored(df, name)
 
 
 def narrowed(df: DataFrame, rows: int) -> DataFrame:
