@@ -7,12 +7,14 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from samples import CLASHING, SCHEMA, crc, documents, lower, prose, words
 
 from payrisk.llm import decontamination, langid, near_dedup, ppm, secret_scan, toxicity
+from payrisk.session import workspace
 
 
 @pytest.fixture(scope="module")
@@ -57,9 +59,11 @@ def brute_components(rows, k=4):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("small_node", [32, 2])
-def test_near_groups_equal_all_pairs(docs, rows, monkeypatch, small_node):
+@pytest.mark.parametrize(("small_node", "block", "set_bytes"), [(32, 2048, 1 << 24), (2, 8, 1 << 24), (32, 3, 6000)])
+def test_near_groups_equal_all_pairs(docs, rows, monkeypatch, small_node, block, set_bytes):
     monkeypatch.setattr(near_dedup, "SMALL_NODE", small_node)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SET_BYTES", set_bytes)
     want = brute_components(rows)
     got = near_dedup.near_table(docs).collect()
     assert len(got) == len(rows)
@@ -77,6 +81,51 @@ def test_one_document_of_each_near_group_stays(spark, docs, rows, none):
     assert near_dedup.kept_documents(none).count() == near_dedup.near_table(none).count() == 0
 
 
+@pytest.mark.parametrize("set_bytes", [1 << 24, 40_000])
+def test_families_of_chains_and_many_components(spark, monkeypatch, set_bytes):
+    """Texts just above and just below the limit to one another, in one family of many parts."""
+    monkeypatch.setattr(near_dedup, "SET_BYTES", set_bytes)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    r = random.Random(8)
+    base, rows = prose(r, 150, 10_000).split(), []
+    for i in range(90):
+        own = list(base)
+        for _ in range(r.randrange(0, 9)):
+            own[r.randrange(len(own))] = f"y{r.randrange(10_000)}"
+        rows.append((i, " ".join(own), None, None, None))
+    for i in range(90, 110):  # each an edit of the one before
+        own = rows[-1][1].split()
+        own[r.randrange(len(own))] = f"z{i}"
+        own[r.randrange(len(own))] = f"z{i}"
+        rows.append((i, " ".join(own), None, None, None))
+    want = brute_components(rows)
+    got = near_dedup.near_table(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == want
+    assert 1 < len({c for _, c in want.values()}) < 60
+
+
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_near_groups_with_other_id_types(spark, docs, rows, kind):
+    want = brute_components(rows)
+    got = near_dedup.near_table(docs.withColumn("doc_id", F.col("doc_id").cast(kind))).collect()
+    groups = defaultdict(set)
+    for x in got:
+        groups[x.component_id].add(int(x.doc_id))
+    plain = defaultdict(set)
+    for i, (_, c) in want.items():
+        plain[c].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, plain.values()))
+
+
+def test_near_groups_leave_no_tables_behind(spark, docs):
+    with workspace(spark) as work:
+        before = len(work._folders)
+        near_dedup.near_table(docs).collect()
+        assert len(work._folders) == before + 1
+        kept = [f for f in work._folders]
+    assert all(not Path(f.removeprefix("file:")).exists() for f in kept)
+
+
 def edited(r, item, edits):
     out = list(item)
     for _ in range(edits):
