@@ -269,7 +269,7 @@ def families(classes: DataFrame) -> DataFrame:
     """(node, label): classes that may be similar to others, by what ties connect."""
     members = nodes(classes)
     rows = members.join(classes.select("cid", "n_shingles", "tokens"), "cid")
-    fits = rows.filter(F.col("n") <= BLOCK).drop("n").repartition("path").sortWithinPartitions("path")
+    fits = rows.filter(F.col("n") <= BLOCK).drop("n").repartition("path").sortWithinPartitions("path", "cid")
     ties = fits.select("path", "cid", "n_shingles", "tokens").mapInArrow(_node_ties, LINKS)
     if members.filter(F.col("n") > BLOCK).isEmpty():
         return components(stored(ties.distinct(), "ties"))
