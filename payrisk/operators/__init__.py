@@ -22,6 +22,8 @@ from payrisk.operators.label_counts import (
 )
 from payrisk.operators.marts import (
     amount_buckets,
+    kpi_sums,
+    kpis_of_sums,
     predicted_class_counts,
     risk_level_counts,
     risk_level_summary,
@@ -69,6 +71,8 @@ __all__ = [
     "high_value_fraud",
     "histogram",
     "histograms",
+    "kpi_sums",
+    "kpis_of_sums",
     "label_cells",
     "load_model",
     "model_comparison",

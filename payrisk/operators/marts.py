@@ -60,36 +60,48 @@ def scored_cells(df: DataFrame) -> DataFrame:
     )
 
 
-def summary_kpis(df: DataFrame) -> DataFrame:
-    """Headline figures, one row."""
+def kpi_sums(df: DataFrame) -> list[Column]:
+    """What the headline figures are made of: aggregates that a pass over the rows can carry."""
     n = rows_in(df)
     fraud = F.col("prediction") == 1
     _, medium, high = RISK_LEVELS
-
-    sums = df.agg(
+    parts = dict(zip(AMOUNT_PARTS, _amount_parts(df)))
+    return [
         F.coalesce(F.sum(n), F.lit(0)).alias("total_transactions"),
         _rows_where(df, fraud).alias("predicted_fraud"),
         _rows_where(df, F.col("risk_level") == high).alias("high_risk_transactions"),
         _rows_where(df, F.col("risk_level") == medium).alias("medium_risk_transactions"),
-        _total(df).alias("all_amount"),
-        _total(df, fraud).alias("fraud_sum"),
+        *[F.sum(part).alias(f"all_{name}") for name, part in parts.items()],
+        *[F.sum(F.when(fraud, part)).alias(f"fraud_{name}") for name, part in parts.items()],
         F.sum(F.when(fraud, _priced(df)).otherwise(0)).alias("fraud_amounts"),
-    )
+    ]
+
+
+def kpis_of_sums(sums: DataFrame) -> DataFrame:
+    """The headline figures from one row of ``kpi_sums``."""
     zero = F.lit(0.0)
+    total, frauds = (
+        amount_from_parts(*[F.col(f"{kind}_{name}") for name in AMOUNT_PARTS]) for kind in ("all", "fraud")
+    )
     return sums.select(
         "total_transactions",
         "predicted_fraud",
         rate_pct(F.col("predicted_fraud"), F.col("total_transactions")).alias("fraud_rate_%"),
         "high_risk_transactions",
         "medium_risk_transactions",
-        F.coalesce("all_amount", zero).alias("total_amount"),
-        F.coalesce("fraud_sum", zero).alias("fraud_amount"),
-        F.coalesce(
-            F.when(F.col("fraud_amounts") > 0, F.col("fraud_sum") / F.col("fraud_amounts")), zero
-        ).alias("avg_fraud_amount"),
+        F.coalesce(total, zero).alias("total_amount"),
+        F.coalesce(frauds, zero).alias("fraud_amount"),
+        F.coalesce(F.when(F.col("fraud_amounts") > 0, frauds / F.col("fraud_amounts")), zero).alias(
+            "avg_fraud_amount"
+        ),
     )
 
 
+def summary_kpis(df: DataFrame) -> DataFrame:
+    """Headline figures, one row."""
+    return kpis_of_sums(df.agg(*kpi_sums(df)))
+
+
 def _per_label(
     df: DataFrame,
     column: str,

@@ -72,7 +72,16 @@ def train(df: DataFrame, kind: str = "gbt", **params) -> PipelineModel:
     """Fit assembler and classifier on featured, labelled rows, as one artefact."""
     shared_dir(df.sparkSession)  # lets tree boosting cut its lineage as it goes
     narrow = df.select(*FEATURES, LABEL)
-    return Pipeline(stages=[assembler(), _estimator(kind, params)]).fit(narrow)
+    model = Pipeline(stages=[assembler(), _estimator(kind, params)]).fit(narrow)
+    _drop_summary(model.stages[-1])
+    return model
+
+
+def _drop_summary(fitted) -> None:
+    """A fresh classifier's summary holds the training table and its session, and goes along to
+    every task that scores; in a session that has observed a query it cannot even be sent."""
+    if getattr(fitted, "hasSummary", False):
+        fitted._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
 
 
 def train_all(

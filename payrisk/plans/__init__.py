@@ -7,6 +7,7 @@ from payrisk.plans.jobs import (
     run_stream,
     run_training,
     write_marts,
+    write_scored,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "run_stream",
     "run_training",
     "write_marts",
+    "write_scored",
 ]

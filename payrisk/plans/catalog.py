@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from payrisk import operators as ops
 from payrisk.functions.features import Drained, add_features
-from payrisk.functions.numeric import amount_from_parts, amount_parts
+from payrisk.functions.numeric import amount_from_parts, amount_parts, stable_hash32
 from payrisk.functions.risk import (
     add_amount_bucket,
     project_export,
@@ -35,15 +35,17 @@ from payrisk.schema import (
 )
 from payrisk.session import current_workspace, file_system, scratch_dir, session_workspace
 from payrisk.sources import files
-from payrisk.sources.events import MESSAGE_SCHEMA, decode_events, encode_events
+from payrisk.sources.events import MESSAGE_SCHEMA, REASON, decode_events, encode_events
 from payrisk.sources.tx_view import TX_COLUMNS, transactions
 from payrisk.streaming import (
     batch_files,
     model_scorer,
+    read_committed,
     read_tx_stream,
     score_stream,
     start_fanout,
     start_file_sink,
+    start_scoring,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,8 @@ KEY = "tx_id"
 SCORED_COLUMNS = SCORED_SCHEMA.fieldNames()
 SAMPLE_FRACTION = 0.25  # of the rows that are no predicted frauds
 FILES_PER_BATCH = 1_000
+DAMAGE_EVERY = 97  # of the messages and lines that queries damage, by key, each kind hits one
+FACTS = "transactions_scored"
 REPORTS = ("fraud_vs_normal", "fraud_by_type", "high_value_fraud", "account_drained_cases")
 
 SOURCE_TABLES = ("lineitem", "orders", "customer", "supplier")
@@ -200,31 +204,122 @@ def label_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bi_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The BI aggregates of the rule-scored table as (mart, item, rows, frauds, amount)."""
-    scored = rule_scored(spark, sf_dir)
-    tables = jobs.build_marts(scored, key=KEY)
-    levels, buckets = tables["risk_level_summary"], tables["amount_buckets"]
-    kpis = tables["summary_kpis"]
+    """The five BI tables of the rule-scored rows, written under their names and read back, as
+    (mart, item, rows, frauds, amount)."""
+    scored = stored_rule_scores(spark, sf_dir)
+    labels = stored(spark, ops.fraud_by_type_long(featured(spark, sf_dir)))
+    tables = jobs.build_marts(scored, labels, key=KEY)
+    paths = jobs.write_marts({n: t.select(KEY, *SCORED_COLUMNS) if n == FACTS else t for n, t in tables.items()}, work_dir(spark, "bi"))
+    read = {
+        name: files.read_scored(spark, path, (KEY,), False)
+        if name == FACTS
+        else files.read_csv_parts(spark, path, tables[name].schema, False)
+        for name, path in paths.items()
+    }
     nothing = F.lit(None)
 
-    def shaped(mart: str, df: DataFrame, item, rows, frauds, amount) -> DataFrame:
-        return df.select(
+    def shaped(mart: str, item, rows, frauds, amount) -> DataFrame:
+        return read[mart].select(
             F.lit(mart).alias("mart"),
             item.alias("item"),
-            rows.alias("transactions"),
+            rows.cast("bigint").alias("transactions"),
             frauds.cast("bigint").alias("fraud"),
             amount.cast("double").alias("total_amount"),
         )
 
+    facts = read[FACTS].agg(
+        F.lit(FACTS).alias("mart"),
+        F.lit("all").alias("item"),
+        F.count("*").alias("transactions"),
+        F.count_if(F.col("prediction") == 1).alias("fraud"),
+        amount_from_parts(*map(F.sum, amount_parts(F.col("amount")))).alias("total_amount"),
+    )
     return reduce(
         DataFrame.unionByName,
         [
-            shaped("summary_kpis", kpis, F.lit("all"), F.col("total_transactions"),
+            facts,
+            shaped("summary_kpis", F.lit("all"), F.col("total_transactions"),
                    F.col("predicted_fraud"), F.col("total_amount")),
-            shaped("risk_level_summary", levels, F.col("risk_level"), F.col("transactions"),
+            shaped("risk_level_summary", F.col("risk_level"), F.col("transactions"),
                    nothing, F.col("total_amount")),
-            shaped("amount_buckets", buckets, F.col("amount_bucket"), F.col("transactions"),
+            shaped("amount_buckets", F.col("amount_bucket"), F.col("transactions"),
                    F.col("fraud"), nothing),
+            shaped("fraud_by_type", F.col("type"), F.col("total"), F.col("fraud"), nothing),
+        ],
+    )
+
+
+def export_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headline figures of the rule-scored rows, observed while these are written as CSV."""
+    return jobs.write_scored(rule_scored(spark, sf_dir), f"{work_dir(spark, 'export')}/rows", (KEY,))
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions as stored messages, some of them damaged by a rule on their keys."""
+    text = F.to_json(F.struct(*TX_COLUMNS))
+    kind = stable_hash32(F.col(KEY)) % DAMAGE_EVERY
+    value = (
+        F.when(kind == 0, F.substring(text, 1, 20))
+        .when(kind == 1, F.lit(" "))
+        .when(kind == 2, F.regexp_replace(text, '"amount":[^,]*', '"amount":"much"'))
+        .when(kind == 3, F.regexp_replace(text, '"amount":[^,]*,', ""))
+        .otherwise(text)
+    )
+    return transactions(spark, sf_dir).select(value.cast("binary").alias("value"))
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with damaged messages scored by rules: messages received, scored and rejected
+    by reason, as readers of the committed batches see them."""
+    out = work_dir(spark, "letters")
+    damaged_messages(spark, sf_dir).write.parquet(f"{out}/messages")
+    options = {"maxFilesPerTrigger": str(FILES_PER_BATCH)}
+    events = read_tx_stream(spark, "parquet", options, MESSAGE_SCHEMA, f"{out}/messages")
+    query = start_scoring(
+        events, rule_score, [batch_files(f"{out}/scored", "parquet")], batch_files(f"{out}/rejected", "parquet"),
+        f"{out}/checkpoint", keep=(KEY,), commit_log=f"{out}/commits", availableNow=True,
+    )
+    query.awaitTermination()
+    scored_schema = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("amount", T.DoubleType())])
+    scored = read_committed(spark, f"{out}/commits", f"{out}/scored", scored_schema, "parquet")
+    rejected_schema = T.StructType([T.StructField(REASON, T.StringType())])
+    rejected = read_committed(spark, f"{out}/commits", f"{out}/rejected", rejected_schema, "parquet")
+    received = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{out}/messages")
+    count = F.count("*").alias("messages")
+    return reduce(
+        DataFrame.unionByName,
+        [
+            received.agg(F.lit("received").alias("outcome"), count),
+            scored.agg(F.lit("scored").alias("outcome"), count),
+            rejected.groupBy(F.col(REASON).alias("outcome")).agg(count),
+        ],
+    )
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as CSV, some with a field that fits no number: accepted rows and rejected
+    lines, which together are all lines."""
+    kind = stable_hash32(F.col(KEY)) % DAMAGE_EVERY
+    damaged = transactions(spark, sf_dir).select(
+        F.when(kind == 0, "soon").otherwise(F.col("step").cast("string")).alias("step"),
+        "type",
+        F.when(kind == 1, "much").otherwise(F.col("amount").cast("string")).alias("amount"),
+        *[c for c in TX_COLUMNS if c not in (KEY, "step", "type", "amount")],
+    )
+    path = f"{work_dir(spark, 'damaged')}/rows"
+    files.write_csv(damaged, path)
+    good, rejected = files.read_checked_transactions(spark, path)
+    lines = spark.read.option("header", True).schema("line string").csv(path)
+    parts = {
+        "lines": (lines, F.lit(None).cast("double")),
+        "accepted": (good, amount_from_parts(*map(F.sum, amount_parts(F.col("amount"))))),
+        "rejected": (rejected, F.lit(None).cast("double")),
+    }
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.lit(name).alias("item"), F.count("*").alias("rows"), amount.alias("total_amount"))
+            for name, (df, amount) in parts.items()
         ],
     )
 
@@ -325,10 +420,11 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "fanout")
     scored = score_stream(event_stream(spark, sf_dir), rule_score, keep=(KEY,))
     sinks = [batch_files(f"{out}/csv", "csv"), batch_files(f"{out}/pq", "parquet")]
-    query = start_fanout(scored, sinks, f"{out}/checkpoint", availableNow=True)
+    log = f"{out}/commits"
+    query = start_fanout(scored, sinks, f"{out}/checkpoint", log, availableNow=True)
     query.awaitTermination()
-    csv = spark.read.schema(scored.schema).option("header", True).csv(f"{out}/csv")
-    parquet = spark.read.schema(scored.schema).parquet(f"{out}/pq")
+    csv = read_committed(spark, log, f"{out}/csv", scored.schema)
+    parquet = read_committed(spark, log, f"{out}/pq", scored.schema, "parquet")
     counts = [
         ops.risk_level_counts(df).select(F.lit(name).alias("sink"), "risk_level", "transactions")
         for name, df in (("csv", csv), ("parquet", parquet))
@@ -544,7 +640,11 @@ def live_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         console=False, availableNow=True,
     )
     query.awaitTermination()
-    rows = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/stream_predictions")
+    schema = T.StructType(
+        [T.StructField("step", T.IntegerType()), T.StructField("type", T.StringType()),
+         T.StructField("amount", T.DoubleType()), *RISK_SCHEMA.fields]
+    )
+    rows = read_committed(spark, f"{out}/stream_commits", f"{out}/stream_predictions", schema)
     return checked(rows, _contradicts())
 
 
@@ -553,8 +653,8 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(spark, "csv")
     files.write_csv(transactions(spark, sf_dir).drop(KEY), f"{out}/tx")
     read = files.read_transactions(spark, f"{out}/tx")
-    files.write_mart(ops.fraud_by_type_long(read), f"{out}/fraud_by_type")
-    return files.read_csv_parts(spark, f"{out}/fraud_by_type", LABEL_COUNT_SCHEMA, False)
+    files.write_named_csv(ops.fraud_by_type_long(read), f"{out}/fraud_by_type.csv")
+    return files.read_csv_parts(spark, f"{out}/fraud_by_type.csv", LABEL_COUNT_SCHEMA, False)
 
 
 QUERIES: dict[str, Query] = {
@@ -648,6 +748,9 @@ QUERIES: dict[str, Query] = {
     "training_job": training_job,
     "export_job": export_check,
     "live_job": live_job,
+    "dead_letters": dead_letters,
+    "csv_rejects": csv_rejects,
+    "export_kpis": export_kpis,
     "csv_round_trip": csv_round_trip,
 }
 

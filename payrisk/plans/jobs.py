@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from payrisk.functions.features import Drained, add_features
@@ -18,8 +18,7 @@ from payrisk.streaming import (
     batch_files,
     model_scorer,
     read_tx_stream,
-    score_stream,
-    start_fanout,
+    start_scoring,
 )
 
 
@@ -78,12 +77,25 @@ def run_export(
     extra: tuple[str, ...] = (),
 ) -> str:
     """Score a whole table and write it as CSV parts. A map: no shuffle, nothing kept."""
-    scored = models.score_transactions(transactions, model, drained)
     path = f"{out_dir}/fraud_predictions"
-    files.write_csv(project_export(scored, *extra), path)
+    write_scored(models.score_transactions(transactions, model, drained), path, extra)
     return path
 
 
+def write_scored(scored: DataFrame, path: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Write scored rows as CSV parts and return their headline figures.
+
+    The figures are observed by the very tasks that write, so they cost no second scan and
+    are those of the rows in the files.
+    """
+    seen = Observation("export")
+    files.write_csv(project_export(scored.observe(seen, *marts.kpi_sums(scored)), *extra), path)
+    figures = seen.get
+    kinds = scored.agg(*marts.kpi_sums(scored)).schema
+    row = tuple(figures[name] for name in kinds.fieldNames())
+    return marts.kpis_of_sums(scored.sparkSession.createDataFrame([row], kinds))
+
+
 def build_marts(
     scored: DataFrame,
     labels: DataFrame | None = None,
@@ -114,11 +126,12 @@ def build_marts(
 
 
 def write_marts(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """One CSV folder per table; the fact table stays partitioned, the others are one file."""
-    paths = {name: f"{out_dir}/{name}" for name in tables}
+    """One CSV file per table, ``<name>.csv``; the fact table, of any size, is a folder of parts."""
+    paths = {}
     for name, table in tables.items():
-        write = files.write_csv if name == "transactions_scored" else files.write_mart
-        write(table, paths[name])
+        whole = name == "transactions_scored"
+        paths[name] = f"{out_dir}/{name}" if whole else f"{out_dir}/{name}.csv"
+        (files.write_csv if whole else files.write_named_csv)(table, paths[name])
     return paths
 
 
@@ -131,10 +144,16 @@ def run_stream(
     console: bool = True,
     **trigger,
 ) -> StreamingQuery:
-    """Score a message stream (Kafka unless given) into CSV files and onto the console."""
+    """Score a message stream (Kafka unless given) into CSV files and onto the console.
+
+    Messages that cannot be scored go to ``dead_letters`` with the reason. A batch counts when
+    both folders have it: readers use ``read_committed`` with the log in ``stream_commits``.
+    """
     events = events if events is not None else read_tx_stream(spark)
-    scored = score_stream(events, model_scorer(model), drained)
     sinks = [batch_files(f"{out_dir}/stream_predictions")]
     if console:
         sinks.append(batch_console())
-    return start_fanout(scored, sinks, f"{out_dir}/stream_checkpoint", **trigger)
+    return start_scoring(
+        events, model_scorer(model), sinks, batch_files(f"{out_dir}/dead_letters"),
+        f"{out_dir}/stream_checkpoint", drained, commit_log=f"{out_dir}/stream_commits", **trigger,
+    )

@@ -253,7 +253,12 @@ select 'risk_level_summary', risk_level, {_count()}, cast(null as bigint), {amou
 from scored group by risk_level
 union all
 select 'amount_buckets', amount_bucket, {_count()}, {fraud}, cast(null as double)
-from scored where amount_bucket is not null group by amount_bucket""",
+from scored where amount_bucket is not null group by amount_bucket
+union all
+select 'transactions_scored', 'all', {_count()}, {fraud}, {amount} from scored
+union all
+select 'fraud_by_type', type, {_count()}, {_count('"isFraud" = 1')}, cast(null as double)
+from scored group by type""",
     )
 
 
@@ -374,6 +379,22 @@ select 'final_risk_scores', {_count()}, {_count()} from marked where split = 'te
 union all
 select model, cast(1 as bigint), cast(1 as bigint) from (values
   ('Logistic Regression'), ('Random Forest'), ('Gradient Boosted Trees')) as m(model)""",
+        ),
+        "export_kpis": _with(SCORED, _kpis()),
+        "dead_letters": _with(
+            TX,
+            f"""select 'received' as outcome, {_count()} as messages from tx
+union all
+select case {HASH} % 97 when 0 then 'malformed' when 1 then 'empty' when 2 then 'bad_value'
+            when 3 then 'missing_input' else 'scored' end, {_count()} from tx group by 1""",
+        ),
+        "csv_rejects": _with(
+            TX,
+            f"""select 'lines' as item, {_count()} as rows, cast(null as double) as total_amount from tx
+union all
+select 'accepted', {_count()}, cast(sum(cast(amount as decimal(18,2))) as double) from tx where {HASH} % 97 > 1
+union all
+select 'rejected', {_count()}, cast(null as double) from tx where {HASH} % 97 < 2""",
         ),
         "bare_model_scores": _with(
             marked, f"select cast(3 * count(*) as bigint) as rows, {none} from marked where split = 'test'"
