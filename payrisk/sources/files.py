@@ -26,16 +26,14 @@ def read_transactions(
     """Transactions from CSV with a header. The header must name the schema's columns.
 
     A field that does not fit its type is NULL in PERMISSIVE mode, its row is left out in
-    DROPMALFORMED and the job fails in FAILFAST; ``read_checked_transactions`` keeps the lines
-    apart. ``num_partitions`` repartitions round-robin, a full shuffle: for small inputs only.
+    DROPMALFORMED, whichever columns are read later, and a job that reads it fails in FAILFAST.
+    ``read_checked_transactions`` keeps the lines apart. ``num_partitions`` repartitions round-robin, a full shuffle: for small inputs only.
     """
-    df = (
-        spark.read.schema(TX_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", mode)
-        .csv(path)
-    )
+    if mode == "DROPMALFORMED":
+        df, _ = read_checked_transactions(spark, path)
+    else:
+        reader = spark.read.schema(TX_SCHEMA).option("header", True).option("enforceSchema", False)
+        df = reader.option("mode", mode).csv(path)
     return df.repartition(num_partitions) if num_partitions else df
 
 
