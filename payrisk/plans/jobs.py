@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from payrisk.functions.features import Drained, add_features
@@ -48,18 +49,20 @@ def run_training(
 ) -> DataFrame:
     """Features -> label reports -> train, compare and save models -> risk of the test rows.
 
-    Returns the model comparison. The featured table is written once and read back, so
-    everything after it reads only the columns it needs and no lineage reaches further.
+    Returns the model comparison. The featured table is written once, in a folder per part of
+    the split, and read back: everything after it reads only the columns and the part that it
+    needs, no key is hashed again, and no lineage reaches further.
     """
     spark = transactions.sparkSession
     processed = f"{out_dir}/processed_transactions"
-    files.write_processed(add_features(transactions, drained), processed)
+    marked = sampling.with_split(add_features(transactions, drained), key)
+    files.write_processed(marked, processed, "split")
     featured = files.read_processed(spark, processed)
 
     for name, report in label_reports(featured).items():
         files.write_csv(report, f"{out_dir}/{name}")
 
-    train, test = sampling.split_by_key(featured, key)
+    train, test = (featured.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
     fitted = models.train_all(train, kinds, num_partitions, params)
     comparison = models.model_comparison(fitted, test)
     models.save_models(fitted, f"{out_dir}/models")
