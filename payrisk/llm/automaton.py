@@ -127,38 +127,21 @@ def _byte_classes(nfa: Nfa) -> tuple[list[int], list[int]]:
     return classes, [classes.index(c) for c in range(len(alike))]
 
 
-def determined(patterns: list[Pattern], anywhere: bool) -> tuple[list[list[int]], list[int], list[int]]:
-    """Subset construction: (targets by byte class, rules that accept, class of every byte).
-
-    With ``anywhere`` a match may begin at every byte, and the first that is complete leads to
-    a state that is never left.
-    """
-    nfa = Nfa()
-    start = nfa.state()
-    ends = {}
-    for i, pattern in enumerate(patterns):
-        own = nfa.state()
-        nfa.free[start].append(own)
-        ends[pattern(nfa, own)] = 1 << i
+def _subsets(nfa: Nfa, first: frozenset[int], ends: dict[int, int], always: frozenset[int]):
+    """Subset construction: (targets by byte class, rules that accept, class of every byte)."""
     classes, bytes_of = _byte_classes(nfa)
-
-    first = nfa.closure([start])
-    hit = frozenset([-1])
     numbers, todo = {first: 0}, [first]
     table: list[list[int]] = []
     rules: list[int] = []
     for states in todo:
-        bits = 0 if states == hit else sum(ends.get(s, 0) for s in states)
-        rules.append(1 if states == hit else bits)
+        bits = 0
+        for s in states:
+            bits |= ends.get(s, 0)
+        rules.append(bits)
         row = []
         for byte in bytes_of:
-            if states == hit:
-                nxt = hit
-            else:
-                targets = {t for s in states if byte in nfa.moves[s] for t in nfa.moves[s][byte]}
-                nxt = nfa.closure([*targets, start] if anywhere else targets)
-                if anywhere and any(s in ends for s in nxt):
-                    nxt = hit
+            targets = {t for s in states if byte in nfa.moves[s] for t in nfa.moves[s][byte]}
+            nxt = nfa.closure(targets) | always
             if nxt not in numbers:
                 numbers[nxt] = len(numbers)
                 todo.append(nxt)
@@ -167,6 +150,40 @@ def determined(patterns: list[Pattern], anywhere: bool) -> tuple[list[list[int]]
     return table, rules, classes
 
 
+def determined(patterns: list[Pattern]) -> tuple[list[list[int]], list[int], list[int]]:
+    """Tables of an automaton that reads one match from its beginning."""
+    nfa = Nfa()
+    start = nfa.state()
+    ends = {}
+    for i, pattern in enumerate(patterns):
+        own = nfa.state()
+        nfa.free[start].append(own)
+        ends[pattern(nfa, own)] = 1 << i
+    return _subsets(nfa, nfa.closure([start]), ends, frozenset())
+
+
+def reversed_anywhere(patterns: list[Pattern]) -> tuple[list[list[int]], list[int], list[int]]:
+    """Tables of an automaton that reads a text from its end: after each byte it accepts the
+    rules of which a match begins there, wherever that match ends."""
+    forward = Nfa()
+    begins, finishes = {}, []
+    for i, pattern in enumerate(patterns):
+        own = forward.state()
+        begins[own] = 1 << i
+        finishes.append(pattern(forward, own))
+    backward = Nfa()
+    for _ in forward.moves:
+        backward.state()
+    for s, moves in enumerate(forward.moves):
+        for byte, targets in moves.items():
+            for t in targets:
+                backward.moves[t][byte].append(s)
+        for t in forward.free[s]:
+            backward.free[t].append(s)
+    always = backward.closure(finishes)
+    return _subsets(backward, always, begins, always)
+
+
 def minimised(table: list[list[int]], rules: list[int], classes: list[int]) -> Dfa:
     """Merge states that no text tells apart, by refining a partition until it is stable."""
     block = list(rules)
@@ -188,8 +205,12 @@ def minimised(table: list[list[int]], rules: list[int], classes: list[int]) -> D
     return Dfa(merged, kept, dead)
 
 
-def compiled(patterns: list[Pattern], anywhere: bool = False) -> Dfa:
-    return minimised(*determined(patterns, anywhere))
+def compiled(patterns: list[Pattern]) -> Dfa:
+    return minimised(*determined(patterns))
+
+
+def starts_machine(patterns: list[Pattern]) -> Dfa:
+    return minimised(*reversed_anywhere(patterns))
 
 
 def longest(rows: list[list], dead: list | None, data: bytes, start: int) -> int:

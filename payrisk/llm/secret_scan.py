@@ -1,9 +1,11 @@
 """Secret scans with one combined deterministic automaton.
 
 All rules are compiled by subset construction and minimisation into transition arrays. One
-pass over the bytes of a text runs all rules at once; the state at its end tells whether any
-occurs. Only then are the places looked up: per rule, leftmost and not overlapping, with the
-rule's own anchored automaton.
+pass over the bytes of a text, from its end to its beginning, runs all rules at once: the
+state at a byte has a bit for every rule of which a match begins there. Each rule's matches
+are then read off from left to right: the first place not covered yet is a match, and its own
+automaton walks to the match's end. So no place is tried in vain, and the time is linear in
+the text's length however many places look like a beginning.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from payrisk.llm.automaton import (
     maybe,
     seq,
     some,
+    starts_machine,
     text,
 )
 from payrisk.llm.common import text_or_empty
@@ -41,18 +44,18 @@ BASE64URL = UPPER + LOWER + DIGITS + "_-"
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is what a match looks like; of those, ``occurs`` can be kept at all.
+    """``pattern`` is what a match looks like, ``least`` the length it must have to be kept; with
+    a ``head`` that holds for what follows it.
 
-    ``occurs`` may let more through: it says where to look, so that few states are needed.
-    ``least`` is the length that a match must have to be kept; with a ``head`` it holds for
-    what follows that.
+    ``begins``, where given, is looked for in place of the pattern: it leaves out places at
+    which matches are too short anyway, if these cover no place of a longer one.
     """
 
     kind: str
     pattern: Pattern
-    occurs: Pattern
     least: int
     head: Pattern | None = None
+    begins: Pattern | None = None
 
 
 def _assign_head() -> Pattern:
@@ -62,31 +65,24 @@ def _assign_head() -> Pattern:
     return seq(either(*[text(n, True) for n in names], key), quote, blanks, chars(":="), blanks, quote)
 
 
-def _marked(kind: str, prefix: Pattern, allowed: str, least: int, shortest: int) -> Rule:
-    """A fixed beginning and a run of characters, ``least`` in all."""
-    return Rule(kind, seq(prefix, some(chars(allowed))), seq(prefix, some(chars(allowed), shortest)), least)
-
-
 HEAD = _assign_head()
 # The first three are the base rules, in their order; the others add spans.
 RULES = (
-    Rule("assign", seq(HEAD, some(chars(VALUE))), seq(HEAD, some(chars(VALUE), 8)), 8, HEAD),
-    _marked("access", text("AKIA"), UPPER + DIGITS, 16, 4),
-    Rule("hex", some(chars(HEX)), some(chars(HEX), 32), 32),
-    _marked("github", seq(text("gh"), chars("pousr"), text("_")), UPPER + LOWER + DIGITS, 40, 4),
+    Rule("assign", seq(HEAD, some(chars(VALUE))), 8, HEAD),
+    Rule("access", seq(text("AKIA"), some(chars(UPPER + DIGITS))), 16),
+    Rule("hex", some(chars(HEX)), 32, begins=some(chars(HEX), 32)),
+    Rule("github", seq(text("gh"), chars("pousr"), text("_"), some(chars(UPPER + LOWER + DIGITS))), 40),
     Rule(
         "jwt",
         seq(
             text("eyJ"), some(chars(BASE64URL), 8), text(".eyJ"), some(chars(BASE64URL), 8),
             text("."), some(chars(BASE64URL), 8),
         ),
-        text(".eyJ"),
         1,
     ),
     Rule(
         "private_key",
         seq(text("-----BEGIN "), many(chars(UPPER + DIGITS + " ")), text("PRIVATE KEY-----")),
-        text("PRIVATE KEY-----"),
         1,
     ),
 )
@@ -95,54 +91,61 @@ BASE = 3
 
 @lru_cache(maxsize=1)
 def machines():
-    """(rows of the combined automaton, per rule: rows, dead row, first bytes, head's rows)."""
-    whole = compiled([r.occurs for r in RULES], anywhere=True).rows()
+    """(rows of the combined automaton, per rule: rows, dead row, head's rows)."""
+    whole = starts_machine([r.begins or r.pattern for r in RULES]).rows()
     single = []
     for rule in RULES:
         dfa = compiled([rule.pattern])
         rows = dfa.rows()
-        dead = rows[dfa.dead] if dfa.dead >= 0 else None
-        begins = bytes(b for b in range(256) if rows[0][b] is not dead)
         head = compiled([rule.head]) if rule.head else None
         linked = head.rows() if head else None
         heads = (linked, linked[head.dead]) if head else None
-        single.append((rows, dead, begins, heads))
+        single.append((rows, rows[dfa.dead] if dfa.dead >= 0 else None, heads))
     return whole, single
 
 
-def occurring(data: bytes, rows: list[list]) -> int:
-    """Not 0 if a match long enough of any rule occurs: one step per byte."""
-    row = rows[0]
-    for byte in data:
+def beginnings(data: bytes, rows: list[list]) -> list[tuple[int, int]]:
+    """(place, bits of the rules of which a match begins there), from left to right."""
+    row, found, at = rows[0], [], len(data)
+    for byte in reversed(data):
         row = row[byte]
-    return row[256]
+        at -= 1
+        if row[256]:
+            found.append((at, row[256]))
+    return found[::-1]
 
 
-def rule_spans(data: bytes, number: int) -> list[tuple[int, int]]:
+def rule_spans(data: bytes, number: int, places: list[int]) -> list[tuple[int, int]]:
     """Matches of a rule as byte spans, leftmost and not overlapping; short ones are dropped
     after they have been matched, so what they cover is not matched again."""
-    rows, dead, begins, head = machines()[1][number]
-    least, spans, at = RULES[number].least, [], 0
-    first = set(begins)
-    while at < len(data):
-        end = longest(rows, dead, data, at) if data[at] in first else -1
-        if end < 0:
-            at += 1
+    rows, dead, head = machines()[1][number]
+    least, spans, upto = RULES[number].least, [], 0
+    for at in places:
+        if at < upto:
             continue
+        upto = longest(rows, dead, data, at)
         value = at if head is None else longest(*head, data, at)
-        if end - value >= least:
-            spans.append((at, end))
-        at = end
+        if upto - value >= least:
+            spans.append((at, upto))
     return spans
 
 
 def spans_of(data: bytes) -> list[tuple[int, int, int]]:
     """(start, rule, end) in code points, ordered by start, then rule."""
-    if not occurring(data, machines()[0]):
+    places = beginnings(data, machines()[0])
+    if not places:
         return []
-    found = [(a, number, b) for number in range(len(RULES)) for a, b in rule_spans(data, number)]
+    found = [
+        (a, number, b)
+        for number in range(len(RULES))
+        for a, b in rule_spans(data, number, [at for at, bits in places if bits >> number & 1])
+    ]
     if not data.isascii():
-        found = [(len(data[:a].decode()), number, len(data[:b].decode())) for a, number, b in found]
+        upto, code_points = 0, {}
+        for edge in sorted({x for a, _, b in found for x in (a, b)}):
+            code_points[edge] = code_points.get(upto, 0) + len(data[upto:edge].decode())
+            upto = edge
+        found = [(code_points[a], number, code_points[b]) for a, number, b in found]
     return sorted(found)
 
 
@@ -170,8 +173,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """Counts of the base rules, the digest of their spans, and all spans, per row of ``docs``.
 
     Null and empty texts have no spans: counts of 0, the digest of the empty text, and empty
-    ``spans``. Only doc_id and text are read; a map without a shuffle, row by row the same
-    whatever the partitioning.
+    ``spans``. Texts are read whole, in time linear in their length. Repeated rows get equal
+    results, an empty table gives an empty table. Only doc_id and text are read; a map without
+    a shuffle, row by row the same whatever the partitioning.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
