@@ -214,7 +214,7 @@ class Scan:
 
 
 WINDOWS = (
-    "wid bigint, doc_id bigint, text_hash bigint, n bigint, start bigint, region binary, "
+    "wid bigint, doc_id {kind}, text_hash bigint, n bigint, start bigint, region binary, "
     "keys array<bigint>"
 )
 
@@ -264,8 +264,7 @@ def _keyed(batch, cut: list[tuple], n: int, item_keys: Bitmap) -> Iterator[pa.Re
         return
     doc_id, text_hash = (batch.column(c).take(pa.array(rows[chosen])) for c in ("doc_id", "text_hash"))
     place = places[chosen]
-    ids = np.asarray(doc_id.fill_null(-1)).astype(np.int64).view(U64)
-    own = mixed(mixed(ids) ^ np.asarray(text_hash).view(U64))
+    own = np.asarray(batch.column("row_key").take(pa.array(rows[chosen]))).view(U64)
     wid = mixed(own + (place.astype(U64) << U64(16)) + U64(n))
     yield pa.RecordBatch.from_arrays(
         [
@@ -281,27 +280,55 @@ def _keyed(batch, cut: list[tuple], n: int, item_keys: Bitmap) -> Iterator[pa.Re
     )
 
 
-def least_edits(item: np.ndarray, region: np.ndarray) -> int:
-    """Fewest word edits between the item and any run of words of the region."""
-    n, m = len(item), len(region)
-    places = np.arange(m + 1)
-    row = np.zeros(m + 1, dtype=np.int64)
-    for i in range(n):
-        best = np.empty(m + 1, dtype=np.int64)
-        best[0] = i + 1
-        best[1:] = np.minimum(row[:-1] + (region != item[i]), row[1:] + 1)
-        row = np.minimum.accumulate(best - places) + places
-    return int(row.min())
+def word_places(item: list[int]) -> dict[int, int]:
+    """The places of each word of the item, as bits."""
+    places: dict[int, int] = {}
+    for i, w in enumerate(item):
+        places[w] = places.get(w, 0) | 1 << i
+    return places
+
+
+def least_edits(places: dict[int, int], n: int, region: list[int]) -> int:
+    """Fewest word edits between an item of n words and any run of words of the region.
+
+    A column of the edit table is two bit vectors, of the rises and the falls from word to word
+    of the item; each word of the region turns it into the next one. The table's first row is
+    0, so a run may begin anywhere.
+    """
+    full, last = (1 << n) - 1, 1 << (n - 1)
+    rises, falls, score, best = full, 0, n, n
+    for w in region:
+        same = places.get(w, 0)
+        vertical = same | falls
+        horizontal = (((same & rises) + rises) ^ rises) | same
+        up = falls | (full & ~(horizontal | rises))
+        down = rises & horizontal
+        if up & last:
+            score += 1
+        elif down & last:
+            score -= 1
+            best = min(best, score)
+        up, down = up << 1 & full, down << 1 & full
+        rises = down | (full & ~(vertical | up))
+        falls = up & vertical
+    return best
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[bytes, tuple[dict[int, int], int]] = {}
     for batch in batches:
         items, regions = batch.column("item_words"), batch.column("region")
         edits = np.zeros(batch.num_rows, dtype=np.int64)
         for i in range(batch.num_rows):
             item, region = items[i].as_py(), regions[i].as_py()
-            if item not in region:
-                edits[i] = least_edits(np.frombuffer(item, dtype=U64), np.frombuffer(region, dtype=U64))
+            if item in region:
+                continue
+            if item not in known:
+                if len(known) == 4096:
+                    known.clear()
+                own = np.frombuffer(item, dtype=U64).tolist()
+                known[item] = word_places(own), len(own)
+            edits[i] = least_edits(*known[item], np.frombuffer(region, dtype=U64).tolist())
         kept = batch.select(["doc_id", "text_hash", "item_id", "n", "start"])
         yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(edits)], names=[*kept.schema.names, "edits"])
 
@@ -312,18 +339,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A hit is a run of words within ``MAX_EDIT_PCT`` of the item's words in edits. ``start`` is
     the word at which the best of the verified windows begins. Items and documents without
     words, null texts among them, are part of no hit; an empty table on either side gives
-    none. Repeated rows give one hit. Only doc_id, text and item_id are read.
+    none. Repeated rows give one hit; ids may be of any type. Only doc_id, text and item_id are
+    read.
     """
     items = item_table(benchmark)
     kind = benchmark.schema["item_id"].dataType.simpleString()
+    doc_kind = docs.schema["doc_id"].dataType.simpleString()
     lengths = sorted(r.n for r in items.select("n").distinct().collect())
     item_keys = items.select("item_id", F.explode("keys").alias("key")).distinct()
     vocabulary = bitmap_of(items.select(F.explode("vocabulary").alias("w")), "w")
     scan = partial(
         _windows, lengths=lengths, vocabulary=vocabulary, item_keys=bitmap_of(item_keys, "key")
     )
-    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), F.lower(text_or_empty()).alias("text"))
-    found = stored(texts.mapInArrow(scan, WINDOWS), "windows")
+    own_hash = F.xxhash64(text_or_empty())
+    texts = docs.select(
+        "doc_id", own_hash.alias("text_hash"), F.xxhash64(F.col("doc_id").isNull(), "doc_id", own_hash).alias("row_key"),
+        F.lower(text_or_empty()).alias("text"),
+    )
+    found = stored(texts.mapInArrow(scan, WINDOWS.format(kind=doc_kind)), "windows")
     pairs = (
         found.select("wid", F.explode("keys").alias("key"))
         .join(item_keys, "key")
@@ -342,7 +375,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(items.select("item_id", "n", "item_words"), "item_id")
     )
     checked = candidates.select("doc_id", "text_hash", "item_id", "n", "start", "region", "item_words").mapInArrow(
-        _verify, f"doc_id bigint, text_hash bigint, item_id {kind}, n bigint, start bigint, edits bigint"
+        _verify, f"doc_id {doc_kind}, text_hash bigint, item_id {kind}, n bigint, start bigint, edits bigint"
     )
     near = checked.filter(F.col("edits") * 100 <= F.col("n") * MAX_EDIT_PCT)
     best = F.min(F.struct("edits", "start")).alias("best")
