@@ -1,19 +1,24 @@
 """Quality rules: counted statistics, fixed base rules, and robust multivariate outliers.
 
 Statistics are counted by a map over the documents. Per language and source, a minimum
-covariance determinant estimate of their centre and scatter is then fitted: concentration
-steps keep the part of the group that lies nearest and estimate again from that part alone.
-Each step is one aggregate over the small table of statistics, by group and distance bin, so
-a hot group is summed map-side and never meets in one task. Documents far from their group
-by Mahalanobis distance are rejected.
+covariance determinant estimate of their centre and scatter is then fitted: from two starts,
+concentration steps keep the part of the group that lies nearest and estimate again from that
+part alone; of the two estimates the one of the smaller determinant is taken. Each step is one
+aggregate over the small table of statistics, by group and distance bin, so a hot group is
+summed map-side and never meets in one task. Every group's estimate is drawn towards that of
+all documents as if ``PRIOR`` of these were in it: a small group follows them, a large one
+itself, by one rule at every size. Documents far from their group by Mahalanobis distance are
+rejected.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payrisk.llm.common import SPACES, let, stored, text_or_empty, words_of
+from payrisk.llm.common import SPACES, let, narrowed, stored, text_or_empty, words_of
 
 # The base rules.
 MIN_WORDS = 10
@@ -30,10 +35,11 @@ START_SD = (0.5, 0.05, 0.10, 0.20, 0.10)
 LEAST_SD = (0.1, 0.02, 0.05, 0.10, 0.10)
 KEEP_PART = 0.75  # share of a group that the estimate is concentrated on
 STEPS = 4
-MIN_GROUP = 50  # smaller groups use the estimate of all documents
+PRIOR = 20  # documents of all groups that count as members of each
 CONSISTENCY = 1.41  # widens the scatter of the nearest 75 % to that of a normal sample
 CUT = 20.515  # squared distance; the chi-square quantile 0.999 of 5 dimensions
 BINS_PER_DOUBLING = 16
+GROUP, ALL = "__quality_group", "__quality_all"
 
 
 def n_words() -> Column:
@@ -172,9 +178,18 @@ def _factor(moments: DataFrame, by: list[str]) -> DataFrame:
                 value = value - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
             value = F.sqrt(F.greatest(value, F.lit(1e-9))) if i == j else value / F.col(f"l{j}{j}")
             out = out.withColumn(f"l{i}{j}", value)
-    return out.select(
-        *by, "n", *[f"m{i}" for i in p], *[f"l{i}{j}" for i in p for j in range(i + 1)]
-    )
+    return out.select(*by, "n", *[f"m{i}" for i in p], *[f"l{i}{j}" for i in p for j in range(i + 1)])
+
+
+def _with_prior(moments: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """The sums of each group and of ``PRIOR`` more documents that are like all of them."""
+    if prior is None:
+        return moments
+    sums = [c for c in moments.columns if c[0] in "sq" and c[1:].isdigit()]
+    typical = prior.select(*[(F.col(c) / F.col("n") * PRIOR).alias(f"p_{c}") for c in sums])
+    more = {c: F.col(c) + F.col(f"p_{c}") for c in sums}
+    joined = moments.join(F.broadcast(typical)).withColumns({**more, "n": F.col("n") + F.lit(PRIOR)})  # one row
+    return joined.select(*moments.columns)
 
 
 def _with_distance(rows: DataFrame, fit: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
@@ -195,8 +210,8 @@ def _with_distance(rows: DataFrame, fit: DataFrame, by: list[str], how: str = "i
     return out.select(*rows.columns, total.alias("d2"))
 
 
-def _concentrate(rows: DataFrame, fit: DataFrame, by: list[str]) -> DataFrame:
-    """One step: the estimate from the nearest part of each group, found by distance bins."""
+def _nearest(rows: DataFrame, fit: DataFrame, by: list[str]) -> DataFrame:
+    """Sums over the nearest part of each group, found by distance bins."""
     bin_no = F.floor(F.log2(F.col("d2") + 1e-6) * BINS_PER_DOUBLING)
     binned = _with_distance(rows, fit, by).groupBy(*by, bin_no.alias("bin")).agg(*_moments())
     binned = stored(binned, "mcd-bins")  # merged by group and bin before a group meets in one task
@@ -204,23 +219,42 @@ def _concentrate(rows: DataFrame, fit: DataFrame, by: list[str]) -> DataFrame:
     whole = F.sum("n").over(Window.partitionBy(*by))
     near = binned.withColumn("upto", upto).withColumn("whole", whole)
     kept = near.filter(F.col("upto") - F.col("n") < KEEP_PART * F.col("whole"))
-    return _factor(_summed(kept.drop("upto", "whole"), by), by)
-
+    return _summed(kept.drop("upto", "whole"), by)
 
-def mcd(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Centre and scatter factor per group, after ``STEPS`` concentration steps.
 
-    The first distances are from the plain mean in fixed units, a scatter that outliers
-    cannot widen.
-    """
+def _starts(rows: DataFrame, by: list[str]) -> list[DataFrame]:
+    """Two first fits: around the means and around the medians, in fixed units, a scatter that
+    outliers cannot widen."""
     p = range(len(STATS))
-    fit = rows.groupBy(*by).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(STATS)])
-    fit = fit.withColumns(
-        {f"l{i}{j}": F.lit(START_SD[i] if i == j else 0.0) for i in p for j in range(i + 1)}
+    units = {f"l{i}{j}": F.lit(START_SD[i] if i == j else 0.0) for i in p for j in range(i + 1)}
+    count = F.count("*").alias("n")
+    means = rows.groupBy(*by).agg(count, *[F.avg(c).alias(f"m{i}") for i, c in enumerate(STATS)])
+    medians = rows.groupBy(*by).agg(
+        count, *[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(STATS)]
     )
-    for _ in range(STEPS):
-        fit = stored(_concentrate(rows, stored(fit, "mcd"), by), "mcd")
-    return fit
+    return [df.withColumns(units) for df in (means, medians)]
+
+
+def mcd(rows: DataFrame, by: list[str], groups: int, prior: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(fit, sums of the nearest part) per group: of both starts, after ``STEPS`` concentration
+    steps each, the one with the smaller determinant.
+
+    ``groups`` is how many there are: fits of so few rows are kept in few files, so that they
+    are sent to the rows and not the rows to them.
+    """
+    found = []
+    for start in _starts(rows, by):
+        fit = stored(narrowed(start, groups), "mcd-start")
+        for _ in range(STEPS):
+            sums = stored(narrowed(_nearest(rows, fit, by), groups), "mcd-sums")
+            fit = stored(narrowed(_factor(_with_prior(sums, prior), by), groups), "mcd")
+        found.append(fit.join(sums.select(*by, *[F.col(c).alias(f"near_{c}") for c in sums.columns if c not in by]), by))
+    volume = reduce(lambda a, b: a * b, [F.col(f"l{i}{i}") for i in range(len(STATS))])
+    names = [c for c in found[0].columns if c not in by]
+    best = found[0].unionByName(found[1]).groupBy(*by).agg(F.min_by(F.struct(*names), volume).alias("best"))
+    best = stored(narrowed(best.select(*by, "best.*"), groups), "mcd-best")
+    own = [c for c in names if not c.startswith("near_")]
+    return best.select(*by, *own), best.select(*by, *[F.col(c).alias(c[5:]) for c in names if c not in own])
 
 
 def _group(lang: str = "lang", source: str = "source") -> Column:
@@ -234,37 +268,33 @@ def _group(lang: str = "lang", source: str = "source") -> Column:
 
 ADDED = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-    "distance2", "kept", *STATS,
+    "distance2", "kept", GROUP, "d2", *STATS,
 )
-EVERYTHING = "*"  # no language and source give this key
 
 
 def judge(docs: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` plus the statistics, ``base_failed``, ``distance2`` and ``kept``.
 
     A document is kept if the base rules pass and its squared distance from its language and
-    source is within ``CUT``. Null languages and sources are groups of their own. Groups with
-    fewer than ``MIN_GROUP`` documents are held against the estimate of all documents. Only
-    documents that pass the base rules are estimated from; with none, these alone decide. An
-    empty table stays empty; repeated rows are judged alike; columns of the added names are
-    replaced. Columns named in ``without`` are dropped once they are counted.
+    source is within ``CUT``. Null languages and sources are groups of their own; a group of
+    which no document passes the base rules has no estimate, and these alone decide. Only
+    documents that pass the base rules are estimated from. An empty table stays empty; repeated
+    rows are judged alike; columns of the added names are replaced. Columns named in
+    ``without`` are dropped once they are counted.
     """
-    counted = statistics(docs).drop(*without).withColumns(_vector() | {"__group": _group()})
+    counted = statistics(docs).drop(*without).withColumns(_vector() | {GROUP: _group()})
     counted = stored(counted, "quality")
-    good = counted.filter(~F.col("base_failed")).select("__group", *STATS)
-    both = stored(good.unionByName(good.withColumn("__group", F.lit(EVERYTHING))), "quality-rows")
-    fits = mcd(both, ["__group"])
-    enough = stored(fits.filter(F.col("n") >= KEEP_PART * MIN_GROUP).select("__group").withColumn("__fit", F.col("__group")), "quality-groups")
-    chosen = counted.join(enough, "__group", "left").withColumn(
-        "__group", F.coalesce("__fit", F.lit(EVERYTHING))
-    )
-    judged = _with_distance(chosen, fits, ["__group"], "left")
+    good = counted.filter(~F.col("base_failed")).select(GROUP, F.lit(1).alias(ALL), *STATS)
+    groups = good.select(GROUP).distinct().count()
+    _, prior = mcd(good, [ALL], 1)
+    fits, _ = mcd(good, [GROUP], groups, prior)
+    judged = _with_distance(counted, fits, [GROUP], "left")
     distance = F.col("d2") / CONSISTENCY
     near = F.coalesce(distance <= CUT, F.lit(True))
     return (
         judged.withColumn("distance2", distance)
         .withColumn("kept", ~F.col("base_failed") & near)
-        .drop("__group", "__fit", "d2", *STATS)
+        .drop(GROUP, "d2", *STATS)
     )
 
 
