@@ -53,7 +53,5 @@ QUERIES: dict[str, Query] = {
 ORACLES: dict[str, str] = {
     "op3_url_filter": url_filter.sql(),
     "op8_mixing": mixing.SQL,
-    "op11_vector_dedup": vector_dedup.vector_table,
-    "op12_periodic_runs": over("documents", periodic_runs.runs_table),
     "op13_filter_audit": filter_audit.SQL,
 }

@@ -58,4 +58,6 @@ def test_stages_on_an_empty_table(spark, folder):
 def test_all_are_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
+    assert {type(sql) for sql in contract.oracle_sql().values()} == {str}
+    assert set(contract.oracle_sql()) <= set(names)
