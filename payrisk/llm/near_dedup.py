@@ -45,6 +45,8 @@ SET_BYTES = 16 << 20  # of the sets that are compared at a time
 # at similarity 0.8, so one true pair in ten million.
 LEAST_SHARED = 24
 SIMILARITY_PCT = 80
+BITMAP_BITS = 1 << 15  # of one bitmap of Spark's
+MARK_BUCKETS = 1 << 11  # bitmaps of the rows that go: 8 MB at most are broadcast
 
 LINKS = "a bigint, b bigint"
 _XOR, _ODD = random64(TOKENS, 11), random64(TOKENS, 12) | U64(1)
@@ -509,11 +511,34 @@ def near_duplicates(docs: DataFrame, words: int = 4) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _mark_bitmap(keys: DataFrame) -> DataFrame:
+    """(__bucket, __bits) of the column ``__key``: one bit a key, of MARK_BUCKETS x 32,768."""
+    return keys.groupBy(_mark_bucket(F.col("__key")).alias("__bucket")).agg(
+        F.bitmap_construct_agg(_mark_bit(F.col("__key"))).alias("__bits")
+    )
+
+
+def _mark_bucket(key: Column) -> Column:
+    return F.pmod(key, F.lit(MARK_BUCKETS)).cast("int")
+
+
+def _mark_bit(key: Column) -> Column:
+    return F.pmod(F.shiftrightunsigned(key, 40), F.lit(BITMAP_BITS))
+
+
+def _marked() -> Column:
+    """Whether the bit of ``__at`` is set in ``__bits``."""
+    bit = _mark_bit(F.col("__at"))
+    byte = F.conv(F.hex(F.substring("__bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.call_function("getbit", byte, F.pmod(bit, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+
 def kept_documents(docs: DataFrame, words: int = 4) -> DataFrame:
     """One document of each component, with its columns; of repeated rows one.
 
-    The texts move once, to meet the rows that go; those of repeated ids, if there are any,
-    once more.
+    A bitmap of the rows that go, of MARK_BUCKETS x 4 kB at most, lets all others through where
+    they are. Only texts whose bit is set move, to meet those rows by key, id and hash; of
+    repeated ids, if there are any, once more.
     """
     marks = near_duplicates(docs, words).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "kept"
@@ -521,14 +546,20 @@ def kept_documents(docs: DataFrame, words: int = 4) -> DataFrame:
     marks = marks.groupBy("__id", "__hash").agg(F.bool_and("kept").alias("__kept"), F.count("*").alias("__n"))
     odd = marks.filter("NOT __kept OR __n > 1").withColumn("__key", F.xxhash64("__id", "__hash"))
     odd = stored(odd, "dropped")
+    bitmap = F.broadcast(stored(_mark_bitmap(odd), "bitmap"))
     rows = docs.withColumn("__own", F.xxhash64(text_or_empty()))
     rows = rows.withColumn("__at", F.xxhash64("doc_id", "__own"))
+    rows = rows.join(bitmap, _mark_bucket(F.col("__at")) == F.col("__bucket"), "left")
+    rows = rows.withColumn("__met", _marked()).drop("__bucket", "__bits")
     same = (F.col("__at") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash"))
-    kept = rows.join(odd, same, "left_anti").select(*docs.columns)
+    met = rows.filter("__met")
+    kept = rows.filter("NOT __met").select(*docs.columns).unionByName(
+        met.join(odd, same, "left_anti").select(*docs.columns)
+    )
     again = odd.filter("__kept")
     if again.isEmpty():
         return kept
-    once = rows.join(again, same).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
+    once = met.join(again, same).dropDuplicates(["doc_id", "__own"]).select(*docs.columns)
     return kept.unionByName(once)
 
 
