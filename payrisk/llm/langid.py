@@ -38,21 +38,26 @@ def held_out() -> Column:
 
 
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
-    """Sample text per language of the training documents, in the order of a hash.
+    """Sample text per language of the training documents, in the order of a hash of the text.
 
-    Ranks are cut per task before they are shuffled, so a language that most rows share does
-    not meet in one task.
+    Equal texts count once, so a page with many copies fills no dictionary; of a long text a
+    piece at a hashed place is taken. Copies meet as hashes, combined map-side, and ranks are
+    cut per task before they are shuffled, so a language that most rows share does not meet in
+    one task.
     """
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(5)), "piece")
-    sample = (
-        known.select("lang", "doc_id", F.substring(F.lower("text"), 1, SAMPLE_CHARS).alias("piece"))
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= SAMPLE_DOCS)
-    )
+    known = known.select("lang", "text", F.xxhash64("text", F.lit(5)).alias("hash"))
+    order = Window.partitionBy("lang").orderBy("hash")
+    chosen = known.select("lang", "hash").distinct().withColumn("place", F.row_number().over(order))
+    chosen = chosen.filter(F.col("place") <= SAMPLE_DOCS).select(F.col("lang").alias("l"), F.col("hash").alias("h"), "place")
+    room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("text", F.lit(7)), room).cast("int") + 1
+    piece = F.lower(F.substring("text", start, F.lit(SAMPLE_CHARS))).alias("piece")
+    found = known.join(chosen, (F.col("lang") == F.col("l")) & (F.col("hash") == F.col("h")))
+    sample = found.select("lang", "place", piece).groupBy("lang", "place").agg(F.min("piece").alias("piece"))
     texts: dict[str, list[str]] = {}
-    for lang, piece in sample.orderBy("lang", "place").select("lang", "piece").collect():
-        texts.setdefault(lang, []).append(piece)
+    for lang, own in sample.orderBy("lang", "place").select("lang", "piece").collect():
+        texts.setdefault(lang, []).append(own)
     return {lang: "\n".join(pieces).encode() for lang, pieces in texts.items()}
 
 
