@@ -74,12 +74,17 @@ def test_near_groups_equal_all_pairs(docs, rows, monkeypatch, small_node, block,
         assert r.kept == (r.doc_id == r.component_id)
 
 
-def test_one_document_of_each_near_group_stays(spark, docs, rows, none):
+@pytest.mark.parametrize(("buckets", "bits"), [(1 << 11, 1 << 15), (1, 4)])
+def test_one_document_of_each_near_group_stays(spark, docs, rows, none, monkeypatch, buckets, bits):
+    monkeypatch.setattr(near_dedup, "MARK_BUCKETS", buckets)
+    monkeypatch.setattr(near_dedup, "BITMAP_BITS", bits)
     doubled = docs.unionByName(docs).withColumns({c: F.lit("mine") for c in CLASHING})
     kept = near_dedup.kept_documents(doubled, words=5)
     want = brute_components(rows, 5)
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted({c for _, c in want.values()})
     assert kept.columns == doubled.columns
+    single = near_dedup.kept_documents(docs, words=5)
+    assert sorted(r.doc_id for r in single.select("doc_id").collect()) == sorted({c for _, c in want.values()})
     assert near_dedup.kept_documents(none).count() == near_dedup.near_table(none).count() == 0
 
 
@@ -274,6 +279,21 @@ def test_language_of_held_out_texts(spark, none):
     assert {x.lang_pred for x in nothing.collect()} == {"und"}
 
 
+def test_copies_of_one_page_fill_no_dictionary(spark, monkeypatch):
+    """A third of a language's rows is one page; of long texts not only the beginning is learned."""
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 50)
+    rows = [(i, "same page", "aa", "s", 0) for i in range(100)]
+    rows += [(1000 + i, f"{'head ' * 40}{i} {'tail ' * 40}", "aa", "s", 0) for i in range(60)]
+    rows += [(2000, None, "bb", "s", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    learned = langid.dictionaries(docs)
+    pieces = learned["aa"].decode().split("\n")
+    assert set(learned) == {"aa"} and len(pieces) == 20
+    assert pieces.count("same page") <= 1 and any("tail" in p for p in pieces) and any("head" in p for p in pieces)
+    assert langid.dictionaries(docs.repartition(5)) == learned
+
+
 def test_toxic_texts_score_higher(spark, none):
     r = random.Random(7)
     bad = ["zorgblat", "quixnard", "vlumpish"]
