@@ -23,6 +23,7 @@ from payrisk.llm.common import crc_part, text_or_empty
 # characters of each.
 SAMPLE_DOCS = 80
 SAMPLE_CHARS = 1500
+SLICES = 64
 BLOCK = 4096
 LEVEL = 5
 HELD_OUT = (4, 2)  # crc32 of the id modulo 4 is 2
@@ -37,23 +38,30 @@ def held_out() -> Column:
     return crc_part(HELD_OUT[0]) == HELD_OUT[1]
 
 
+def _least(hashes: DataFrame, keys: list) -> DataFrame:
+    """The SAMPLE_DOCS least hashes of each group, numbered in ``place``."""
+    order = Window.partitionBy(*keys).orderBy("hash")
+    return hashes.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= SAMPLE_DOCS)
+
+
 def dictionaries(docs: DataFrame) -> dict[str, bytes]:
     """Sample text per language of the training documents, in the order of a hash of the text.
 
     Equal texts count once, so a page with many copies fills no dictionary; of a long text a
-    piece at a hashed place is taken. Copies meet as hashes, combined map-side, and ranks are
-    cut per task before they are shuffled, so a language that most rows share does not meet in
-    one task.
+    piece at a hashed place is taken. Copies meet as hashes, combined map-side. Ranks are cut
+    per task, then per slice of a language, before they meet by language: no more than
+    SLICES x SAMPLE_DOCS hashes do.
     """
     known = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     known = known.select("lang", "text", F.xxhash64("text", F.lit(5)).alias("hash"))
-    order = Window.partitionBy("lang").orderBy("hash")
-    chosen = known.select("lang", "hash").distinct().withColumn("place", F.row_number().over(order))
-    chosen = chosen.filter(F.col("place") <= SAMPLE_DOCS).select(F.col("lang").alias("l"), F.col("hash").alias("h"), "place")
+    hashes = known.select("lang", "hash").distinct()
+    chosen = _least(_least(hashes, ["lang", F.pmod("hash", F.lit(SLICES))]), ["lang"])
+    chosen = chosen.select(F.col("lang").alias("l"), F.col("hash").alias("h"), "place")
     room = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     start = F.pmod(F.xxhash64("text", F.lit(7)), room).cast("int") + 1
     piece = F.lower(F.substring("text", start, F.lit(SAMPLE_CHARS))).alias("piece")
-    found = known.join(chosen, (F.col("lang") == F.col("l")) & (F.col("hash") == F.col("h")))
+    # The places are far smaller than the dictionaries, which every task gets.
+    found = known.join(F.broadcast(chosen), (F.col("lang") == F.col("l")) & (F.col("hash") == F.col("h")))
     sample = found.select("lang", "place", piece).groupBy("lang", "place").agg(F.min("piece").alias("piece"))
     texts: dict[str, list[str]] = {}
     for lang, own in sample.orderBy("lang", "place").select("lang", "piece").collect():
