@@ -260,3 +260,17 @@ def test_local_folder_on_a_cluster_raises(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Cluster)
     assert isinstance(current_workspace(spark), Workspace)
+
+
+def test_kept_batch_holds_raw_messages_of_dead_letters_only(spark, feed, tmp_path):
+    folder, _ = feed
+    out, raw_seen = str(tmp_path / "out"), []
+
+    def scorer(df):
+        raw_seen.append(df.filter(F.col("raw_value").isNotNull()).count())
+        return rule_score(df)
+
+    scoring(spark, folder, out, scorer).awaitTermination()
+    dead = read_committed(spark, f"{out}/log", f"{out}/dead", "raw_value string, reject_reason string", "parquet")
+    assert raw_seen and set(raw_seen) == {0}
+    assert dead.filter(F.col("raw_value").isNotNull()).count() == 3
